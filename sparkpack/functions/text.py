@@ -14,7 +14,14 @@ def split_on_first(text: Column, delim: str) -> Column:
 
 
 def form_url_encode(text: Column) -> Column:
-    return F.url_encode(text)
+    """Form encoding with lower-case escapes; `! ( )` stay as they are."""
+    parts = F.split(F.url_encode(text), "%")
+    lowered = F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(
+        F.concat(F.lower(F.substring(p, 1, 2)), F.substring(p, F.lit(3), F.length(p)))))
+    out = F.array_join(lowered, "%")
+    for escape, char in (("%21", "!"), ("%28", "("), ("%29", ")")):
+        out = F.replace(out, F.lit(escape), F.lit(char))
+    return out
 
 
 def iso_utc(ts: Column) -> Column:

@@ -60,11 +60,15 @@ def fn_split_on_first(spark, d):
 
 
 @query("fn_url_encode", """
-    SELECT event_id, replace(replace(url_encode(props || ' ~*' || event_type), '%20', '+'), '~', '%7E') AS encoded FROM events""")
+    SELECT event_id, array_to_string(list_transform(string_split(
+             replace(replace(replace(replace(replace(replace(url_encode(props || ' ~*!(' || event_type || ')'),
+               '%20', '+'), '~', '%7E'), '%2A', '*'), '%21', '!'), '%28', '('), '%29', ')'), '%'),
+             lambda p, i: CASE WHEN i = 1 THEN p ELSE lower(substr(p, 1, 2)) || substr(p, 3) END), '%') AS encoded
+    FROM events""")
 def fn_url_encode(spark, d):
     """Form URL encoding."""
-    return fx.events(spark, d).select(
-        "event_id", X.form_url_encode(F.concat("props", F.lit(" ~"), F.lit("*"), "event_type")).alias("encoded"))
+    text = F.concat("props", F.lit(" ~*!("), "event_type", F.lit(")"))
+    return fx.events(spark, d).select("event_id", X.form_url_encode(text).alias("encoded"))
 
 
 @query("fn_format_time", """
