@@ -135,6 +135,10 @@ class Stretch:
         fits = self._exact(s, e) + self.rule.margin <= self.rule.size_limit
         return s + max(1, len(fits) if fits.all() else int(np.argmin(fits)))
 
+    def _timer(self, s: int, j: int) -> int:
+        """A deadline that has passed when a record is added fires at once."""
+        return int(max(self.deadline[s], self.arrival[j - 1]))
+
     def next_flush(self, s: int, j: int, stop: int):
         """First flush of a buffer [s, j) while records j..stop-1 arrive: (batch end, records added, time, reason) or None."""
         r, width = self.rule, 32
@@ -154,7 +158,7 @@ class Stretch:
                 k = int(np.argmax(hit))
                 t = j + k
                 if late[k]:
-                    return self.prefix(s, t), t, int(self.deadline[s]), "deadline"
+                    return self.prefix(s, t), t, self._timer(s, t), "deadline"
                 if r.count_limit != NEVER and t + 1 - s >= r.count_limit:
                     reason = "count"
                 elif r.size_limit != NEVER and full[k]:
@@ -169,7 +173,7 @@ class Stretch:
     def due(self, s: int, j: int, until: int):
         """Timer flush of [s, j) if its deadline lies before `until`."""
         if s < j and self.rule.use_deadline and self.deadline[s] < until:
-            return self.prefix(s, j), j, int(self.deadline[s]), "deadline"
+            return self.prefix(s, j), j, self._timer(s, j), "deadline"
         return None
 
     def run(self, s: int, j: int, stop: int, until: int, memo: dict | None = None, flushes: list | None = None) -> int:

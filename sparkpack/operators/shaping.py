@@ -15,11 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkpack.operators.scan import SLICE, ordered_scan, row_numbers, time_slice
+from sparkpack.operators.stage import materialize
 
 KEYS = ["stream_name", "shard_no"]
 ORDER = ["deadline_ts", "arrival_ts", "source_id"]
 EPOCH_S = 1_704_067_200      # seconds are kept relative to 2024-01-01 so that doubles hold microseconds
 LOW = -1e18
+TINY = 1e-7                  # rounding of double seconds, far below the microseconds of the input
 
 
 @dataclass(frozen=True)
@@ -126,15 +128,16 @@ def rate_limit_expired(records: DataFrame, per_record: Bucket, per_byte: Bucket,
     Times without expiry are an upper bound. Where both buckets are full in that bound, the true buckets are full
     too, so busy periods are independent; only periods in which some bound exceeds an expiration are replayed.
     """
-    order = [F.col(c) for c in ORDER]
-    sized = records.withColumns({"_size": size.cast("double"), "_expire": seconds(F.col("expiration_ts"))})
-    bound = rate_limit_shard(sized, per_record, per_byte, F.col("_size"), slice_ms)
-    cut = time_slice(F.col(ORDER[0]), slice_ms)
-    oversize = F.when(F.col("_size") > per_byte.capacity, F.col("_expire"))     # blocks its queue until it expires
-    lagged = ordered_scan(bound, KEYS, cut, order, lags={"_p1": F.col("full1_s"), "_p2": F.col("full2_s")}, lasts={"_hold": oversize})
-    idle = F.coalesce(F.col("arrival_s") >= F.greatest("_p1", "_p2", "_hold"), F.lit(True))
-    periods = ordered_scan(lagged.withColumn("_idle", F.when(idle, 1).otherwise(0).cast("bigint")), KEYS, cut, order,
-                           sums={"_period": F.col("_idle")})
+    octets, arrival, expire = size.cast("double"), seconds(F.col("arrival_ts")), seconds(F.col("expiration_ts"))
+    # an item larger than the bucket blocks its queue until it expires; in the bound it costs at least that long
+    cost = F.when(octets > per_byte.capacity, F.greatest(octets, (expire - arrival) * per_byte.rate)).otherwise(octets)
+    sized = records.select(*KEYS, *ORDER, octets.alias("_size"), expire.alias("_expire"), cost.alias("_cost"))
+    bound = materialize(rate_limit_shard(sized, per_record, per_byte, F.col("_cost"), slice_ms))
+    spent1, spent2 = F.lit(1.0 / per_record.rate), F.col("_cost") / per_byte.rate
+    idle = (F.col("full1_s") - spent1 <= F.col("arrival_s") + TINY) & (F.col("full2_s") - spent2 <= F.col("arrival_s") + TINY)
+    periods = ordered_scan(
+        bound.withColumn("_idle", F.when(idle, 1).otherwise(0).cast("bigint")), KEYS, time_slice(F.col(ORDER[0]), slice_ms),
+        [F.col(c) for c in ORDER], sums={"_period": F.col("_idle")})
     late = (F.col("send_s") > F.col("_expire")) | (F.col("_size") > per_byte.capacity)
     group = [*KEYS, "_period"]
     affected = periods.groupBy(*group).agg(F.bool_or(late).alias("_affected"))

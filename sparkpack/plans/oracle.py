@@ -109,7 +109,7 @@ VIEWS: dict[str, str] = {
                x.sequence_number, x.shard_id, x.error_code, x.error_message,
                CASE WHEN r.transport_error THEN 'retry' WHEN r.status = 200 THEN 'per_record'
                     WHEN r.status BETWEEN 500 AND 599 THEN 'retry' ELSE 'fail' END AS action,
-               r.status = 200 AND coalesce(p.n_results, 0) <> r.n_entries AS mismatch
+               coalesce(r.status = 200 AND coalesce(p.n_results, 0) <> r.n_entries, false) AS mismatch
         FROM request_entries e JOIN requests r USING (request_id)
         LEFT JOIN (SELECT request_id, count(*) AS n_results FROM responses GROUP BY 1) p USING (request_id)
         LEFT JOIN responses x ON x.request_id = e.request_id AND x.pos = e.pos""",
