@@ -17,38 +17,42 @@ SHARD_PREFIX = "shardId-"
 SHARD_DIGITS = 12
 
 
-def _limb(hex_digest: Column, byte_numbers: list[int]) -> Column:
-    """32-bit number from four digest bytes, most significant first."""
-    digits = F.concat(*[F.substring(hex_digest, 2 * b + 1, 2) for b in byte_numbers])
-    return F.conv(digits, 16, 10).cast("bigint")
+def _once(value: Column, use) -> Column:
+    """`use(value)` with `value` computed once per row. Inside a conditional branch Spark does not share
+    repeated subexpressions, and a digest feeds several parts of the number."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def digest_to_decimal(hex_digest: Column, byte_order: str = "little") -> Column:
-    """A 128-bit hex digest as 39-digit decimal text.
+    """A 128-bit hex digest as 39-digit decimal text: upper half times 2^64 plus lower half, in 9-digit limbs.
 
-    Horner steps on four 32-bit limbs with a carry at 10^19; both decimal halves stay far below DECIMAL(38).
+    Limb products stay below 10^18, so everything is LONG arithmetic.
     """
-    order = list(range(15, -1, -1)) if byte_order == "little" else list(range(16))
-    l3, l2, l1, l0 = (_limb(hex_digest, order[i:i + 4]) for i in (0, 4, 8, 12))
-    wide = "decimal(38,0)"
-    two32 = F.lit(2**32).cast("decimal(10,0)")
-    base = F.lit("10000000000000000000").cast("decimal(20,0)")
-    top = (l3.cast("decimal(10,0)") * two32 + l2.cast("decimal(10,0)")).cast("decimal(20,0)")
-
-    def step(low: Column, limb: Column) -> Column:
-        return (low.cast("decimal(20,0)") * two32 + limb.cast("decimal(10,0)")).cast(wide)
-
-    def carry(x: Column) -> Column:
-        return F.call_function("div", x, base)
-
-    x1 = step(top % base, l1)
-    x0 = step(x1 % base, l0)
-    high1 = carry(top) * F.lit(2**32) + carry(x1)
-    high0 = high1.cast("decimal(20,0)") * two32 + carry(x0).cast("decimal(20,0)")
-    return F.concat(
-        F.lpad(high0.cast("decimal(20,0)").cast("string"), 20, "0"),
-        F.lpad((x0 % base).cast("decimal(20,0)").cast("string"), 19, "0"),
-    )
+    base = 10**9
+    t0, t1, t2 = (F.lit(2**64 // base**i % base) for i in range(3))
+
+    def limbs(half: Column) -> list[Column]:
+        digits = F.lpad(F.conv(half, 16, 10), 20, "0")
+        return [F.substring(digits, at, n).cast("bigint") for at, n in ((12, 9), (3, 9), (1, 2))]
+
+    def number(v: Column) -> Column:
+        h0, h1, h2, l0, l1, l2 = (v[f"d{i}"] for i in range(6))
+        rest = lambda x: F.call_function("div", x, F.lit(base))
+        c0 = h0 * t0 + l0
+        c1 = h1 * t0 + h0 * t1 + l1 + rest(c0)
+        c2 = h2 * t0 + h1 * t1 + h0 * t2 + l2 + rest(c1)
+        c3 = h2 * t1 + h1 * t2 + rest(c2)
+        c4 = h2 * t2 + rest(c3)
+        text = lambda x, n: F.lpad(x.cast("string"), n, "0")
+        return F.concat(text(c4, 3), *[text(c % base, 9) for c in (c3, c2, c1, c0)])
+
+    def parts(h: Column) -> Column:
+        six = limbs(F.substring(h, 1, 16)) + limbs(F.substring(h, 17, 16))
+        return F.struct(*[c.alias(f"d{i}") for i, c in enumerate(six)])
+
+    if byte_order == "little":
+        hex_digest = F.regexp_replace(F.reverse(hex_digest), "(.)(.)", "$2$1")
+    return _once(_once(hex_digest, parts), number)
 
 
 def hash_key(partition_key: Column, byte_order: str = "little") -> Column:

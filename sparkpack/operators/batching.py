@@ -125,7 +125,7 @@ def _transitions(keys: list[str], rule: BatchRule, width: int | None, buffered_u
         if skip:
             return pd.DataFrame(columns=[*keys, "_block", "starts", "leaves"])
         base, memo, starts, leaves = int(pdf["rn"].iloc[0]), {}, [], []
-        for s in range(own + 1):
+        for s in st.inheritable(own):
             out = base + st.run(s, own, st.n, until, memo)
             if not leaves or leaves[-1] != out:
                 starts.append(base + s)

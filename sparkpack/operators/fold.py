@@ -176,6 +176,28 @@ class Stretch:
             return self.prefix(s, j), j, self._timer(s, j), "deadline"
         return None
 
+    def inheritable(self, own: int) -> list[int]:
+        """Buffer starts that can exist when record `own` arrives (the last, `own`, is the empty buffer).
+
+        A buffer without its newest record has not triggered a flush; records above the size limit are left
+        out of the sums because they wait for the next arrival.
+        """
+        r, start = self.rule, np.arange(own)
+        ok = np.ones(own, bool)
+        if own == 0:
+            return [0]
+        if r.use_deadline:
+            ok &= (self.deadline[:own] >= self.arrival[own - 1]) | (start == own - 1)
+        giant = self.size[:own - 1] + r.margin >= r.size_limit if r.size_limit != NEVER else np.zeros(own - 1, bool)
+        if r.size_limit != NEVER:
+            least = np.where(giant, 0, self.size[:own - 1] + (5 if r.packed else 0))
+            total = np.append(np.cumsum(least[::-1])[::-1], 0)
+            ok &= total < r.size_limit
+        if r.count_limit != NEVER:
+            others = np.append(np.cumsum(~giant[::-1])[::-1], 0)
+            ok &= others < r.count_limit
+        return [*start[ok].tolist(), own]
+
     def run(self, s: int, j: int, stop: int, until: int, memo: dict | None = None, flushes: list | None = None) -> int:
         """Process records j..stop-1 with buffer [s, j), then timers before `until`; returns the new buffer start."""
         seen = []

@@ -75,7 +75,7 @@ def put_pipeline(spark, d):
     SELECT stream_name, count(*) AS n_in, count(*) AS n_out, 0::BIGINT AS missing, 0::BIGINT AS unexpected FROM routed GROUP BY 1""")
 def round_trip(spark, d):
     """Pack and unpack; records that did not survive, per stream."""
-    records = fx.routed_records(spark, d)
+    records = fx.routed_table(spark, d)
     packed = materialize(pack(records, fx.SCALED))
     back = C.deaggregate_records(packed.select("stream_name", "source_ids", "partition_key", "explicit_hash_key", "data"))
     fields = ["stream_name", "source_id", "partition_key", "data"]

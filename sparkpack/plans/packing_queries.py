@@ -9,6 +9,7 @@ from sparkpack.operators import batching as B
 from sparkpack.operators import codec as C
 from sparkpack.operators import shaping as S
 from sparkpack.operators.fold import BatchRule
+from sparkpack.operators.stage import materialize
 from sparkpack.plans.registry import query
 from sparkpack.sources import fixtures as fx
 
@@ -19,7 +20,7 @@ REQUEST_ORDER = ["deadline_ts", "arrival_ts", "shard_no", "batch_no"]
 
 
 def count_batches(spark, d) -> DataFrame:
-    return B.batch_by_count(fx.routed_records(spark, d), CFG.aggregation_max_count, CFG.slice_ms)
+    return B.batch_by_count(fx.routed_table(spark, d), CFG.aggregation_max_count, CFG.slice_ms)
 
 
 def layout(cfg: PackConfig) -> dict:
@@ -72,7 +73,7 @@ def batch_by_size(spark, d):
     SELECT stream_name, shard_no, source_id, batch_rn, flush_us, 'deadline' AS reason FROM r""")
 def batch_by_deadline(spark, d):
     """A batch closes at the earliest deadline of its members."""
-    out = B.fold_batches(fx.routed_records(spark, d), BatchRule(), size=F.octet_length("data"), **layout(CFG))
+    out = B.fold_batches(fx.routed_table(spark, d), BatchRule(), size=F.octet_length("data"), **layout(CFG))
     return out.select("stream_name", "shard_no", F.col("id").alias("source_id"), "batch_rn", "flush_us", "reason")
 
 
@@ -82,7 +83,7 @@ def batch_by_deadline(spark, d):
                  > {fx.ISLAND_GAP_MS}000 THEN 1 ELSE 0 END AS opens FROM routed)""")
 def batch_islands(spark, d):
     """Stretches of arrivals no buffer can span."""
-    return B.batch_islands(fx.routed_records(spark, d), fx.ISLAND_GAP_MS, CFG.slice_ms).select("stream_name", "shard_no", "source_id", "island")
+    return B.batch_islands(fx.routed_table(spark, d), fx.ISLAND_GAP_MS, CFG.slice_ms).select("stream_name", "shard_no", "source_id", "island")
 
 
 @query("batch_predicate", """
@@ -91,7 +92,7 @@ def batch_islands(spark, d):
     WINDOW w AS (PARTITION BY stream_name, shard_no ORDER BY deadline_ts, arrival_ts, source_id)""")
 def batch_predicate(spark, d):
     """Batches ended by a caller's condition."""
-    return B.batch_predicate(fx.routed_records(spark, d), F.col("source_id") % 13 == 0, CFG.slice_ms).select(
+    return B.batch_predicate(fx.routed_table(spark, d), F.col("source_id") % 13 == 0, CFG.slice_ms).select(
         "stream_name", "shard_no", "source_id", "batch_no")
 
 
@@ -106,7 +107,7 @@ def full_batches(records: DataFrame, cfg: PackConfig = CFG, flag=None) -> DataFr
 @query("batch_full")
 def batch_full(spark, d):
     """All triggers together: count, size estimate, a caller's condition, deadline."""
-    out = full_batches(fx.routed_records(spark, d), flag=F.col("source_id") % 101 == 0)
+    out = full_batches(fx.routed_table(spark, d), flag=F.col("source_id") % 101 == 0)
     return out.select("stream_name", "shard_no", F.col("id").alias("source_id"), "batch_rn", "pos", "flush_us", "reason")
 
 
@@ -119,7 +120,7 @@ def batch_full(spark, d):
     GROUP BY 1, 2, 3""")
 def flush_all(spark, d):
     """Batches cut by flush commands of one stream or of all streams."""
-    return B.flush_all(fx.routed_records(spark, d), fx.control_rows(spark, d), CFG.slice_ms).groupBy("stream_name", "shard_no", "flush_no").agg(
+    return B.flush_all(fx.routed_table(spark, d), fx.control_rows(spark, d), CFG.slice_ms).groupBy("stream_name", "shard_no", "flush_no").agg(
         F.count(F.lit(1)).alias("n_records"), F.sum(F.octet_length("data")).alias("bytes"),
         US(F.min("arrival_ts")).alias("first_us"), US(F.max("arrival_ts")).alias("last_us"))
 
@@ -252,13 +253,13 @@ def collect(items: DataFrame, cfg: PackConfig = CFG, burst: bool = False) -> Dat
     FROM packed_items p JOIN request_of q ON q.stream_name = p.stream_name AND q.rn = p.rn""")
 def collect_requests(spark, d):
     """Packed records collected into put requests."""
-    return collect(as_items(packed(spark, d))).select("stream_name", "shard_no", "batch_no", "request_rn", "entry_no")
+    return collect(as_items(materialize(packed(spark, d)))).select("stream_name", "shard_no", "batch_no", "request_rn", "entry_no")
 
 
 @query("shard_burst_flush")
 def shard_burst_flush(spark, d):
     """The same with an extra flush when one shard fills a request."""
-    return collect(as_items(packed(spark, d)), burst=True).select("stream_name", "shard_no", "batch_no", "request_rn", "entry_no", "reason")
+    return collect(as_items(materialize(packed(spark, d))), burst=True).select("stream_name", "shard_no", "batch_no", "request_rn", "entry_no", "reason")
 
 
 @query("request_sizes", """
@@ -267,7 +268,7 @@ def shard_burst_flush(spark, d):
         "request_no, count", "min(p.rn) AS request_rn, count").replace("GROUP BY 1, 2", "GROUP BY p.stream_name, request_no"))
 def request_sizes(spark, d):
     """Bytes the service counts for each request."""
-    return collect(as_items(packed(spark, d))).groupBy("stream_name", "request_rn").agg(
+    return collect(as_items(materialize(packed(spark, d)))).groupBy("stream_name", "request_rn").agg(
         F.count(F.lit(1)).alias("entries"), F.sum("n_records").alias("records"), F.sum("item_size").alias("bytes"))
 
 
@@ -284,7 +285,7 @@ def put_request_rows(items: DataFrame) -> DataFrame:
     FROM packed_items p JOIN request_of q ON q.stream_name = p.stream_name AND q.rn = p.rn""")
 def put_entries(spark, d):
     """Sink rows of each request."""
-    return put_request_rows(collect(as_items(packed(spark, d)))).select("stream_name", "request_rn", F.explode("entries").alias("e")).select(
+    return put_request_rows(collect(as_items(materialize(packed(spark, d))))).select("stream_name", "request_rn", F.explode("entries").alias("e")).select(
         "stream_name", "request_rn", "e.entry_no", "e.partition_key", "e.explicit_hash_key",
         F.md5(F.lower(F.hex("e.data")).cast("binary")).alias("data_md5"))
 
@@ -303,7 +304,7 @@ def request_json_text(requests: DataFrame) -> DataFrame:
     FROM packed_items p JOIN request_of q ON q.stream_name = p.stream_name AND q.rn = p.rn GROUP BY p.stream_name, request_no""")
 def request_json(spark, d):
     """JSON request bodies."""
-    return request_json_text(put_request_rows(collect(as_items(packed(spark, d))))).select("stream_name", "request_rn", "body")
+    return request_json_text(put_request_rows(collect(as_items(materialize(packed(spark, d)))))).select("stream_name", "request_rn", "body")
 
 
 # -- shaping -------------------------------------------------------------------------------------------------
@@ -343,7 +344,7 @@ def _shape_sql(cost1: float, depth1: float, bytes_: bool, expiry: bool, body: st
     SELECT stream_name, shard_no, source_id, round(send, 3) AS send_s FROM r"""))
 def rate_limit_single(spark, d):
     """Send times under one record limit per shard."""
-    out = S.rate_limit_single(fx.routed_records(spark, d), RECORDS, CFG.slice_ms)
+    out = S.rate_limit_single(fx.routed_table(spark, d), RECORDS, CFG.slice_ms)
     return out.select("stream_name", "shard_no", "source_id", F.round("send_s", 3).alias("send_s"))
 
 
@@ -351,7 +352,7 @@ def rate_limit_single(spark, d):
     SELECT stream_name, shard_no, source_id, round(send, 3) AS send_s FROM r"""))
 def rate_limit_shard(spark, d):
     """Send times under a record and a byte limit per shard."""
-    out = S.rate_limit_shard(fx.routed_records(spark, d), RECORDS, BYTES, payload_size(), CFG.slice_ms)
+    out = S.rate_limit_shard(fx.routed_table(spark, d), RECORDS, BYTES, payload_size(), CFG.slice_ms)
     return out.select("stream_name", "shard_no", "source_id", F.round("send_s", 3).alias("send_s"))
 
 
@@ -359,7 +360,7 @@ def rate_limit_shard(spark, d):
     SELECT source_id, CASE WHEN NOT late THEN round(send, 3) END AS send_s, late AS expired FROM r"""))
 def rate_limit_expired(spark, d):
     """Send times and expiries of an overloaded shard."""
-    out = S.rate_limit_expired(fx.routed_records(spark, d), SLOW_RECORDS, BYTES, payload_size(), CFG.slice_ms)
+    out = S.rate_limit_expired(fx.routed_table(spark, d), SLOW_RECORDS, BYTES, payload_size(), CFG.slice_ms)
     return out.select("source_id", F.round("send_s", 3).alias("send_s"), "expired")
 
 
@@ -380,7 +381,7 @@ def emit_order(spark, d):
            count(*) / {RECORDS.rate}::DOUBLE AS share FROM r GROUP BY 1, 2, 3"""))
 def throttle_profile(spark, d):
     """Load per shard and second after shaping."""
-    shaped = S.rate_limit_single(fx.routed_records(spark, d), RECORDS, CFG.slice_ms).withColumn("send_s", F.round("send_s", 3))
+    shaped = S.rate_limit_single(fx.routed_table(spark, d), RECORDS, CFG.slice_ms).withColumn("send_s", F.round("send_s", 3))
     return S.throttle_profile(shaped, RECORDS.rate, payload_size())
 
 

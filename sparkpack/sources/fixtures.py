@@ -14,6 +14,7 @@ from sparkpack.functions.metric_names import metric_dimensions
 from sparkpack.functions.text import plus_ms
 from sparkpack.operators import intake, shards
 from sparkpack.operators.scan import row_numbers, time_slice
+from sparkpack.operators.stage import materialize
 from sparkpack.sources.scans import read_table
 
 HOUR = 3_600_000
@@ -23,7 +24,7 @@ SCALED = PackConfig(
     aggregation_max_size=500, aggregation_max_count=20,
     collection_max_count=20, collection_max_size=5_000, shard_burst_size=1_000,
     shard_records_per_sec=5.0, shard_bytes_per_sec=50.0,
-    slice_ms=HOUR, block_cost=4_000, block_ms=48 * HOUR,
+    slice_ms=HOUR, block_cost=16_000, block_ms=48 * HOUR,
 )
 ISLAND_GAP_MS = 3 * HOUR
 RECORD_CAPACITY, RECORD_RATE, EXPIRY_RATE = 5.0, 0.0003, 0.0002
@@ -123,6 +124,11 @@ def routed_records(spark: SparkSession, d: str, cfg: PackConfig = SCALED) -> Dat
     return routed(user_records(spark, d), cfg)
 
 
+def routed_table(spark: SparkSession, d: str) -> DataFrame:
+    """Routed records as a stage table: ordered scans read their input twice, the hash keys are computed once."""
+    return materialize(routed_records(spark, d))
+
+
 def stream_shards(spark: SparkSession, d: str) -> DataFrame:
     """A shard map per stream: one shard ends at each user's key, one last shard closes the key space."""
     users = events(spark, d).select("event_type", "user_id").distinct()
