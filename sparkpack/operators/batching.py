@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkpack.operators.fold import NEVER, BatchRule, Stretch
-from sparkpack.operators.scan import ordered_scan, row_numbers, time_slice
+from sparkpack.operators.scan import ordered_scan, row_numbers, spread, time_slice
 
 ORDER = ["deadline_ts", "arrival_ts", "source_id"]
 KEYS = ["stream_name", "shard_no"]
@@ -50,21 +50,27 @@ def batch_predicate(records: DataFrame, flush: Column, slice_ms: int, keys: list
     return marked.withColumn("batch_no", F.col("_ended") - F.col("_flag")).drop("_ended", "_flag")
 
 
+def _seen_commands(records: DataFrame, commands: DataFrame, keys: list[str], slice_ms: int, name: str) -> DataFrame:
+    """Add the number of commands of the record's key at or before its arrival."""
+    rows = records.withColumns({"_at": F.col("arrival_ts"), "_mark": F.lit(0).cast("bigint")})
+    marks = commands.select(*keys, F.col("flush_ts").alias("_at"), F.lit(1).cast("bigint").alias("_mark"))
+    order = [F.col("_at"), F.lit(1) - F.col("_mark"), F.coalesce("source_id", F.lit(-1))]
+    out = ordered_scan(rows.unionByName(marks, allowMissingColumns=True), keys, time_slice(F.col("_at"), slice_ms), order,
+                       sums={name: F.col("_mark")})
+    return out.filter("_mark = 0").drop("_at", "_mark")
+
+
 def flush_all(records: DataFrame, controls: DataFrame, slice_ms: int) -> DataFrame:
     """Number of flush commands each record has seen before it arrived; a command without a stream reaches all.
 
-    A command at the time of an arrival comes first. Commands are repeated per shard, not per record.
+    A command at the time of an arrival comes first. Commands of a stream are repeated for the stream's shards;
+    commands to everybody are counted in a scan of their own, over time only.
     """
     shards = records.select(*KEYS).distinct()
-    hits = controls.filter("stream_name IS NOT NULL").join(shards, "stream_name").unionByName(
-        controls.filter("stream_name IS NULL").select("flush_ts", F.lit(1).alias("_all"))
-        .join(shards.withColumn("_all", F.lit(1)), "_all").drop("_all"))
-    rows = records.withColumns({"_at": F.col("arrival_ts"), "_mark": F.lit(0).cast("bigint")})
-    marks = hits.select(*KEYS, F.col("flush_ts").alias("_at"), F.lit(1).cast("bigint").alias("_mark"))
-    both = rows.unionByName(marks, allowMissingColumns=True)
-    order = [F.col("_at"), (F.lit(1) - F.col("_mark")), F.coalesce("source_id", F.lit(-1))]
-    out = ordered_scan(both, KEYS, time_slice(F.col("_at"), slice_ms), order, sums={"flush_no": F.col("_mark")})
-    return out.filter("_mark = 0").drop("_at", "_mark")
+    of_stream = controls.filter("stream_name IS NOT NULL").join(shards, "stream_name")
+    own = _seen_commands(records, of_stream, KEYS, slice_ms, "_own")
+    both = _seen_commands(own, controls.filter("stream_name IS NULL"), [], slice_ms, "_all")
+    return both.withColumn("flush_no", F.col("_own") + F.col("_all")).drop("_own", "_all")
 
 
 # -- ordered folds --------------------------------------------------------------------------------------
@@ -191,6 +197,7 @@ def fold_batches(
     """
     rows, width, buffered_us = _blocks(records, keys, order, rule, size, flag, burst_key, slice_ms, block_cost, block_ms, buffered_ms, id_col)
     by = keys + ["_block"]
+    rows = spread(rows, *by)
     types = dict(records.dtypes)
     key_ddl = ", ".join(f"{k} {types[k]}" for k in keys)
     maps = rows.groupBy(*by).applyInPandas(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkpack.functions import keys as K
 from sparkpack.operators.fold import ENVELOPE, PLACEHOLDER, PLACEHOLDER_ESTIMATE, PLACEHOLDER_EXACT
+from sparkpack.operators.scan import spread
 
 AGGREGATE_KEY = "a"      # fixed value: partition key of a packed record
 
@@ -112,7 +113,7 @@ def aggregate_records(batched: DataFrame, batch: list[str]) -> DataFrame:
     limits, so the collected group is small.
     """
     item = F.struct("pos", "source_id", F.col("partition_key").alias("pk"), F.col("explicit_hash_key").alias("ehk"), "data", "hash_key")
-    grouped = batched.groupBy(*batch).agg(
+    grouped = spread(batched, *batch).groupBy(*batch).agg(
         F.array_sort(F.collect_list(item)).alias("items"),
         F.max("arrival_ts").alias("arrival_ts"), F.min("deadline_ts").alias("deadline_ts"), F.min("expiration_ts").alias("expiration_ts"))
     first, many = F.element_at("items", 1), F.size("items") > 1

@@ -137,13 +137,18 @@ def correlate_results(results: DataFrame, records: DataFrame) -> DataFrame:
     return results.join(known, "source_id", "left").withColumn("known", F.coalesce("known", F.lit(False)))
 
 
+def _ids(df: DataFrame) -> DataFrame:
+    """Each id once: copies of one id are combined before the shuffle the join needs anyway."""
+    return df.select("source_id").distinct()
+
+
 def outstanding_records(records: DataFrame, results: DataFrame) -> DataFrame:
-    return records.join(results.select("source_id"), "source_id", "left_anti")
+    return records.join(_ids(results), "source_id", "left_anti")
 
 
 def orphan_results(results: DataFrame, records: DataFrame) -> DataFrame:
-    return results.join(records.select("source_id"), "source_id", "left_anti")
+    return results.join(_ids(records), "source_id", "left_anti")
 
 
 def finished_records(records: DataFrame, results: DataFrame) -> DataFrame:
-    return records.join(results.select("source_id"), "source_id", "left_semi")
+    return records.join(_ids(results), "source_id", "left_semi")

@@ -16,6 +16,13 @@ def time_slice(ts: Column, slice_ms: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(slice_ms * 1000)).cast("bigint")
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash-partition by `columns` into the configured number of shuffle partitions. Steps that compute much per
+    byte (folds, packing) ask for this, because adaptive execution would merge their small inputs into one task."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *columns)
+
+
 def ordered_scan(
     df: DataFrame,
     keys: list[str],

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkpack.operators.scan import SLICE, ordered_scan, row_numbers, time_slice
+from sparkpack.operators.scan import SLICE, ordered_scan, row_numbers, spread, time_slice
 from sparkpack.operators.stage import materialize
 
 KEYS = ["stream_name", "shard_no"]
@@ -143,11 +143,10 @@ def rate_limit_expired(records: DataFrame, per_record: Bucket, per_byte: Bucket,
     affected = periods.groupBy(*group).agg(F.bool_or(late).alias("_affected"))
     split = periods.join(affected, group)
     plain = split.filter("NOT _affected").select("source_id", "send_s", F.lit(False).alias("expired"))
-    replayed = (
-        split.filter("_affected").select(*group, *ORDER[:2], "source_id", "arrival_s", F.col("_expire").alias("expire_s"), F.col("_size").alias("size"))
-        .repartition(*group).sortWithinPartitions(*group, *ORDER)
-        .mapInPandas(_shape_rows(group, per_record, per_byte), "source_id long, send_s double, expired boolean")
-    )
+    waiting = split.filter("_affected").select(
+        *group, *ORDER[:2], "source_id", "arrival_s", F.col("_expire").alias("expire_s"), F.col("_size").alias("size"))
+    replayed = spread(waiting, *group).sortWithinPartitions(*group, *ORDER).mapInPandas(
+        _shape_rows(group, per_record, per_byte), "source_id long, send_s double, expired boolean")
     return plain.unionByName(replayed)
 
 
