@@ -63,7 +63,7 @@ def batch_by_size(spark, d):
 
 @query("batch_by_deadline", """
     WITH RECURSIVE o AS (
-      SELECT stream_name, shard_no, source_id, epoch_us(arrival_ts) AS at, epoch_us(deadline_ts) AS due,
+      SELECT stream_name, shard_no, source_id, epoch_us(arrival_ts) AS arr, epoch_us(deadline_ts) AS due,
              row_number() OVER (PARTITION BY stream_name, shard_no ORDER BY deadline_ts, arrival_ts, source_id) AS rn FROM routed),
     r AS (
       SELECT *, rn AS batch_rn, due AS flush_us FROM o WHERE rn = 1
