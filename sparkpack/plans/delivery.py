@@ -22,8 +22,12 @@ PACK = ["stream_name", "shard_no", "batch_rn"]
 
 
 def pack(records: DataFrame, cfg: PackConfig) -> DataFrame:
-    """Valid, routed records to packed rows. Payloads meet their batch by record id, once."""
-    batches = P.full_batches(records, cfg).select(F.col("id").alias("source_id"), "batch_rn", "pos", "flush_us")
+    """Valid, routed records to packed rows. Payloads meet their batch by record id, once.
+
+    Records without a shard, or all if packing is off, flush at once and travel alone.
+    """
+    alone = (F.col("shard_no") == -1) | F.lit(not cfg.aggregation_enabled)
+    batches = P.full_batches(records, cfg, flag=alone).select(F.col("id").alias("source_id"), "batch_rn", "pos", "flush_us")
     joined = records.join(batches, "source_id")
     rows = C.aggregate_records(joined, PACK)
     flushed = batches_flush_time(joined)
@@ -35,11 +39,15 @@ def batches_flush_time(joined: DataFrame) -> DataFrame:
 
 
 def shape(packed: DataFrame, cfg: PackConfig) -> DataFrame:
-    """Packed rows with their send time under the shard's record and byte limits."""
+    """Packed rows with their send time under the shard's record and byte limits; rows without a shard are not held."""
     records = S.Bucket(cfg.shard_records_per_sec, cfg.record_rate)
     octets = S.Bucket(cfg.shard_bytes_per_sec, cfg.byte_rate)
     order = ["deadline_ts", "arrival_ts", "batch_rn"]
-    sent = S.rate_limit(packed, [(records, F.lit(1.0)), (octets, F.col("exact_size").cast("double"))], cfg.slice_ms, order=order)
+    limited = S.rate_limit(
+        packed.filter("shard_no <> -1"), [(records, F.lit(1.0)), (octets, F.col("exact_size").cast("double"))],
+        cfg.slice_ms, order=order).select(*packed.columns, "send_s")
+    unlimited = packed.filter("shard_no = -1").withColumn("send_s", S.seconds(F.col("arrival_ts")))
+    sent = limited.unionByName(unlimited)
     return sent.withColumn("arrival_ts", F.timestamp_micros(((F.col("send_s") + S.EPOCH_S) * 1_000_000).cast("bigint")))
 
 
