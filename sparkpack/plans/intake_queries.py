@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkpack.functions import keys as K
 from sparkpack.operators import intake, shards
 from sparkpack.plans.registry import query
 from sparkpack.sources import fixtures as fx

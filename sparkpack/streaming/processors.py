@@ -49,7 +49,7 @@ class PackProcessor(StatefulProcessor):
         """Flushes of ordered rows of which the first `buffered` were there before; `forced` are (position, time) commands."""
         st, s, j, flushes = Stretch(rows, self.rule), 0, buffered, []
         for at, when in forced:
-            s = st.run(s, j, at, min(until, NEVER) if at == st.n else -NEVER, None, flushes)
+            s = st.run(s, j, at, -NEVER, None, flushes)
             j = at
             due = when if self.rule.use_deadline else -NEVER
             s = st.run(s, j, at, due, None, flushes)
