@@ -64,22 +64,23 @@ def slots_for(rows: int, per_slot: int = 2000, least: int = 1024) -> int:
 def components(edges: DataFrame) -> DataFrame:
     """Edges (a, b) to (node, label): label is the smallest node reachable.
 
-    Each round takes the smallest label among the neighbours and then the label of that label, so chains halve.
-    Rounds are stage tables; both joins have one unique side, so Spark can split a hub's rows.
+    Each round every node takes its smallest neighbour, then that one's; the edges are contracted to the labels and the
+    ones inside a label drop out, so rounds shrink. Rounds are stage tables, and joins have one unique side whose own
+    exchange lets Spark split a hub's rows.
     """
-    both = stage(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                   .select("node", F.least("node", "m").alias("label")))
-    while True:
-        near = (both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near")))
-        hooked = stage(labels.join(near, labels["node"] == near["a"], "left")
-                       .select("node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label")))
-        up = hooked.select(F.col("node").alias("up"), F.col("label").alias("up_label"))
-        jumped = stage(hooked.join(up, hooked["label"] == up["up"], "left")
-                       .select("node", "old", F.least("label", F.coalesce("up_label", "label")).alias("label")))
-        labels = jumped.select("node", "label")
-        if jumped.filter(F.col("label") < F.col("old")).isEmpty():
-            return labels
+    edges = stage(edges.select("a", "b").filter("a <> b").distinct())
+    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
+    labels = stage(nodes.select("node", F.col("node").alias("label")))
+    while not edges.isEmpty():
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = stage(both.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("m")).select("x", F.least("x", "m").alias("up")))
+        higher = least.select(F.col("x").alias("y"), F.col("up").alias("top"))
+        least = stage(least.join(higher, least["up"] == higher["y"]).select("x", "top"))
+        labels = stage(labels.join(least, labels["label"] == least["x"], "left").select("node", F.coalesce("top", "label").alias("label")))
+        left = edges.join(least, edges["a"] == least["x"]).select(F.col("top").alias("a"), "b")
+        both_ends = left.join(least, left["b"] == least["x"]).select("a", F.col("top").alias("b")).filter("a <> b")
+        edges = stage(both_ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return labels
 
 
 # Task-side arrays -------------------------------------------------------------------------------------------------
@@ -219,7 +220,12 @@ class Sets:
         return a != b
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the edges a-b over n nodes."""
-    sets = Sets(n)
-    return [(x, y) for x, y in zip(a.tolist(), b.tolist()) if sets.join(x, y)]
+def stars(sets: Sets, names: list) -> tuple[list, list]:
+    """Per local component an edge from each other member to the smallest name: the same edges wherever its members meet."""
+    least: dict[int, object] = {}
+    roots = [sets.find(x) for x in range(len(names))]
+    for r, name in zip(roots, names):
+        if r not in least or name < least[r]:
+            least[r] = name
+    pairs = [(least[r], name) for r, name in zip(roots, names) if name != least[r]]
+    return [a for a, _ in pairs], [b for _, b in pairs]

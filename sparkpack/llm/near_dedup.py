@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkpack.llm.common import (GOLDEN, NOT_BLANK, Sets, components, forest, golden, id_key, lists_to_arrays, mix, run_hashes,
-                                  runs, sorted_groups, stage, text_chunks)
+from sparkpack.llm.common import (GOLDEN, NOT_BLANK, Sets, components, golden, id_key, lists_to_arrays, mix, run_hashes,
+                                  runs, sorted_groups, stage, stars, text_chunks)
 
 #: 24 bands of 4 ranks: a pair at similarity 0.85 shares no band with probability 2e-8, at 0.8 with 3e-6.
 BANDS, ROWS = 24, 4
@@ -118,20 +118,18 @@ def _signatures(k: int, bands: int, rows: int):
 
 
 def _agreeing(m: int, least: float):
-    """Within a bucket (or two blocks of a hot one), a spanning forest of the pairs whose signatures agree enough."""
+    """Within a bucket (or two blocks of a hot one), the components of the pairs whose signatures agree enough."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches):
         for group in sorted_groups(batches, ["bucket", "i", "j"]):
             fps = group.column("fp").to_pylist()
             sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(fps), m)
-            sets, a, b = Sets(len(fps)), [], []
+            sets = Sets(len(fps))
             for x in range(len(fps) - 1):
-                near = np.flatnonzero((sig[x + 1:] == sig[x]).sum(axis=1) >= least * m) + x + 1
-                for y in near.tolist():
-                    if sets.join(x, y):
-                        a.append(fps[x])
-                        b.append(fps[y])
+                for y in (np.flatnonzero((sig[x + 1:] == sig[x]).sum(axis=1) >= least * m) + x + 1).tolist():
+                    sets.join(x, y)
+            a, b = stars(sets, fps)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
     return run
@@ -169,10 +167,12 @@ def _verified(percent: int):
         for group in sorted_groups(batches, ["cluster", "i", "j"]):
             fps = group.column("fp").to_pylist()
             h, bounds = lists_to_arrays(group.column("sets"), np.uint64)
-            pairs = forest(len(fps), *linked_pairs(h, bounds, percent))
-            pairs = [(fps[x], fps[y]) for x, y in pairs if fps[x] != fps[y]]
-            if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.binary()), pa.array([y for _, y in pairs], pa.binary())], schema=schema)
+            sets = Sets(len(fps))
+            for x, y in zip(*(side.tolist() for side in linked_pairs(h, bounds, percent))):
+                sets.join(x, y)
+            a, b = stars(sets, fps)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
     return run
 
 
@@ -197,7 +197,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     Linked: shingle sets with 100 * intersection >= percent * union. Documents with equal sets form a class first; only
     classes are banded. Classes that share a band and whose signatures agree (within SLACK deviations of the
     bound) are joined to candidate clusters; each cluster's full sets are rebuilt from the texts and every pair in it is
-    tested exactly, block against block. Buckets and clusters pass on spanning forests, never all their pairs.
+    tested exactly, block against block. Buckets and clusters pass on stars, never all their pairs.
     Null or wordless texts have no set and link with nothing. A null id counts as smaller than all others, and such a
     component's component_id is null; repeated rows are copies. Other columns are ignored.
     """

@@ -6,8 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkpack.llm import line_dedup, mixing, near_dedup, packing, quality, sharding, vector_dedup
-from sparkpack.llm.common import n_words
+from sparkpack.llm import (language, line_dedup, mixing, near_dedup, packing, pii, quality, sharding, toxicity,
+                           vector_dedup)
+from sparkpack.llm.common import n_words, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,12 +58,33 @@ def op5_vector_dedup(spark: SparkSession, d: str) -> DataFrame:
     return vector_dedup.near_vectors(spark.read.parquet(f"{d}/embeddings.parquet"))
 
 
+def _held_out(key: str = "doc_id"):
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
+
+
+@_query
+def op6_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d)
+    profiles = language.learn_profiles(docs.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+    return language.identify_languages(docs, profiles, _held_out())
+
+
 @_query
 def op7_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality.apply_quality_rules(_documents(spark, d)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@_query
+def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d)
+    labels = spark.read.parquet(f"{d}/labels.parquet").filter("toxic is not null")
+    labels = labels.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2).select(F.col("doc_id").alias("_id"), "toxic")
+    labelled = docs.select("doc_id", "text").join(labels.hint("shuffle_hash"), F.col("doc_id") == F.col("_id")).select("toxic", "text")
+    labelled = stage(labelled)
+    return toxicity.score_toxicity(docs, toxicity.fit(labelled), _held_out()).drop("passages")
+
+
 @_query
 def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
     docs = _documents(spark, d).select("doc_id", "source", n_words(F.col("text")).alias("size"))
@@ -70,3 +92,16 @@ def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
     wanted = F.broadcast(mixing.source_targets(docs, "size", "source", mixing.cycling_weights))
     out = mixed.join(wanted, mixed["source"].eqNullSafe(wanted["_source"]))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@_query
+def op10_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find_personal_data(_documents(spark, d))
+
+
+@_query
+def pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """The whole corpus pipeline at the repository top."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, d)
