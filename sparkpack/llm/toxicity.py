@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sparkpack.llm.common import LETTERS, run_hashes, runs, stage, text_chunks
 
 #: Model parameters: most tokens kept (strongest first), doubt in standard deviations, documents of the prior.
-MODEL_TOKENS, DOUBT, PRIOR = 50_000, 2.0, 20.0
+MODEL_TOKENS, DOUBT, PRIOR = 50_000, 1.0, 2.0
 #: A token's score in a segment is at most this; all other tokens together draw a segment down at this rate.
 MOST, OTHER = 6.0, -0.05
 
@@ -53,9 +53,9 @@ def learn_tokens(labelled: DataFrame, toxic: str = "toxic", text: str = "text")
     """Log-odds that a document with a token is toxic, with a Dirichlet prior from the documents of both kinds.
 
     Tokens are runs of letters, A-Z lower-cased; documents with a token are counted over all labelled rows and summed before
-    the shuffle. A token's prior is PRIOR documents times its share of all; its log-odds between the kinds, less DOUBT
-    standard deviations, plus the log-odds of the kinds themselves is its score. Tokens with a score above 0 are
-    the model, the MODEL_TOKENS strongest at most; that bounds what reaches the driver.
+    the shuffle. The prior adds PRIOR documents to each token, toxic in the share of all labelled ones; the score is
+    the log-odds of the two counts less DOUBT standard deviations, so a token seen seldom, or in both kinds, has none.
+    Tokens with a score above 0 are the model, the MODEL_TOKENS strongest at most; that bounds what reaches the driver.
     """
     rows = labelled.select(F.col(toxic).cast("int").alias("toxic"), F.col(text).alias("text"))
     kinds = {r["toxic"]: float(r["n"]) for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -65,10 +65,8 @@ def learn_tokens(labelled: DataFrame, toxic: str = "toxic", text: str = "text")
     counted = rows.mapInArrow(_token_counts(), "toxic int, token long, n long")
     one = counted.groupBy("token").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("y1"),
                                        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("y0"))
-    prior = PRIOR * (F.col("y1") + F.col("y0")) / (n1 + n0)
-    odds = lambda y, n: F.log((y + prior) / (n + PRIOR - y - prior))
-    doubt = F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior))
-    score = odds(F.col("y1"), n1) - odds(F.col("y0"), n0) - DOUBT * doubt + math.log(n1 / n0)
+    toxic_docs, other_docs = F.col("y1") + PRIOR * n1 / (n1 + n0), F.col("y0") + PRIOR * n0 / (n1 + n0)
+    score = F.log(toxic_docs / other_docs) - DOUBT * F.sqrt(1 / toxic_docs + 1 / other_docs)
     best = (one.filter("y1 > 0").select("token", score.alias("score")).filter("score > 0")
             .orderBy(F.desc("score"), "token").limit(MODEL_TOKENS).collect())
     best.sort(key=lambda r: r["token"] % 2**64)
