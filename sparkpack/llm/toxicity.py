@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sparkpack.llm.common import LETTERS, run_hashes, runs, stage, text_chunks
 
 #: Model parameters: most tokens kept (strongest first), doubt in standard deviations, documents of the prior.
-MODEL_TOKENS, DOUBT, PRIOR = 50_000, 1.0, 2.0
+MODEL_TOKENS, DOUBT, PRIOR = 50_000, 1.0, 4.0
 #: A token's score in a segment is at most this; all other tokens together draw a segment down at this rate.
 MOST, OTHER = 6.0, -0.05
 
