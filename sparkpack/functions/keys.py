@@ -96,7 +96,8 @@ def shard_name(shard_no: Column) -> Column:
 
 
 def shard_number(name: Column) -> Column:
-    return F.element_at(F.split(name, "-"), 2).cast("bigint")
+    """The number after the first dash; null for a name of another form."""
+    return F.try_element_at(F.split(name, "-"), F.lit(2)).try_cast("bigint")
 
 
 def is_packed(data: Column) -> Column:

@@ -16,10 +16,18 @@ THROTTLED = "ProvisionedThroughputExceededException"
 ALWAYS_RETRY = ["InternalFailure", "ServiceUnavailable"]
 
 
+# fixed values: what counts as white space around a stream name
+BLANKS = " \t\n\r\x0b\x0c\x85\xa0"
+
+
+def stream_name() -> Column:
+    return F.trim(F.col("stream_name"), F.lit(BLANKS))
+
+
 def reject_reason() -> Column:
-    stream, key, explicit = F.col("stream_name"), F.col("partition_key"), F.trim("explicit_hash_key")
+    key, explicit = F.col("partition_key"), F.trim("explicit_hash_key")
     return (
-        F.when(stream.isNull() | (F.trim(stream) == ""), "stream")
+        F.when(F.col("stream_name").isNull() | (stream_name() == ""), "stream")
         .when(key.isNull(), "key null")
         .when(~F.length(key).between(1, MAX_KEY_CHARS), "key length")
         .when(explicit.isNotNull() & ~explicit.rlike("^[0-9]+$"), "explicit key not a number")
@@ -35,7 +43,7 @@ def validate_records(records: DataFrame) -> DataFrame:
 
 def valid_records(records: DataFrame) -> DataFrame:
     return validate_records(records).filter("reject_reason IS NULL").drop("reject_reason").withColumns({
-        "stream_name": F.trim("stream_name"), "explicit_hash_key": K.strip_zeros(F.trim("explicit_hash_key"))})
+        "stream_name": stream_name(), "explicit_hash_key": K.strip_zeros(F.trim("explicit_hash_key"))})
 
 
 def rejects_by_reason(records: DataFrame) -> DataFrame:

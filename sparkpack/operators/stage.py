@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str | None:
@@ -26,18 +27,27 @@ def shared_dir(spark: SparkSession) -> str | None:
     return _local_dirs[app]
 
 
+def clear_stage(spark: SparkSession) -> int:
+    """Delete every stage table, sink and state this application wrote; results still lazy on them must be written before."""
+    n = 0
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        n += at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return n
+
+
 def new_path(spark: SparkSession, kind: str) -> str:
     base = shared_dir(spark)
     if base is None:
         raise RuntimeError(f"set {SETTING} to a folder all executors share")
-    return f"{base}/{kind}-{uuid.uuid4().hex}"
+    path = f"{base}/{kind}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write a stage table and read it back; without a shared folder the plan simply stays lazy."""
+    """Write a stage table and read it back. A cluster must name a shared folder, or this raises."""
     spark = df.sparkSession
-    if shared_dir(spark) is None:
-        return df
     path = new_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

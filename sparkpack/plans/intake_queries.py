@@ -71,15 +71,15 @@ def shard_ranges(spark, d):
 
 
 @query("read_after_sequence", f"""
-    SELECT shard_no, source_id, '4957' || lpad(source_id::VARCHAR, 52, '0') AS sequence_number
-    FROM routed WHERE source_id > 120
-    QUALIFY row_number() OVER (PARTITION BY shard_no ORDER BY source_id) <= 1000""")
+    SELECT shard_no, source_id, '4957' || lpad(source_id::VARCHAR, 52, '0') AS sequence_number,
+           (row_number() OVER (PARTITION BY shard_no ORDER BY source_id) - 1) // 1000 AS page
+    FROM routed WHERE source_id > 120""")
 def read_after_sequence(spark, d):
-    """Next thousand records of each shard after a sequence number."""
+    """All records of each shard after a sequence number, in pages of a thousand."""
     stored = fx.routed_records(spark, d).withColumn(
         "sequence_number", F.concat(F.lit("4957"), F.lpad(F.col("source_id").cast("string"), 52, "0")))
     after = "4957" + "120".rjust(52, "0")
-    return scans.read_after_sequence(stored, after).select("shard_no", "source_id", "sequence_number")
+    return scans.read_on(stored, after).select("shard_no", "source_id", "sequence_number", "page")
 
 
 @query("parse_put_response", "SELECT request_id, row_number() OVER (PARTITION BY request_id ORDER BY pos) - 1 AS pos, sequence_number, shard_id, error_code, error_message FROM responses")

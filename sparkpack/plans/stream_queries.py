@@ -14,7 +14,7 @@ from sparkpack.plans.registry import query
 from sparkpack.sources import fixtures as fx
 from sparkpack.sources import scans
 from sparkpack.streaming import processors
-from sparkpack.streaming.runner import run_each_batch, run_to_table, stream_session, table_stream
+from sparkpack.streaming.runner import run_and_drain, run_each_batch, run_to_table, stream_session, table_stream
 
 US = F.unix_micros
 CFG = fx.SCALED
@@ -39,27 +39,31 @@ def stream_put_scan(spark, d):
 
 @query("stream_pack")
 def stream_pack(spark, d):
-    """Packing with state per stream and shard; records still buffered at the end stay in the state."""
+    """Packing with state per stream and shard; the end of the stream flushes what still waits."""
     s = stream_session(spark)
-    return run_to_table(processors.stream_pack(fx.routed(record_stream(s, d)), P.full_rule(CFG)))
+    keys = lambda: fx.routed_records(s, d).select("stream_name", "shard_no").distinct()
+    return run_and_drain(s, lambda ends: processors.stream_pack(fx.routed(record_stream(s, d)), P.full_rule(CFG), ends), keys, F.lit(CLOSE_AT).cast("timestamp"))
 
 
+#: When the registered streams end: after every row of the tables.
+CLOSE_AT = "2100-01-01 00:00:00"
 FLUSH_EVERY = 200
 
 
 @query("stream_flush", f"""
-    SELECT stream_name, shard_no, source_id, flush_us FROM (
+    SELECT stream_name, shard_no, source_id, coalesce(at_us, epoch_us(TIMESTAMP '{CLOSE_AT}')) AS flush_us FROM (
       SELECT r.stream_name, r.shard_no, r.source_id,
-             (SELECT epoch_us(min(e.ts)) FROM events e WHERE e.event_type = r.stream_name AND e.event_id % {FLUSH_EVERY} = {FLUSH_EVERY - 1} AND e.ts >= r.arrival_ts) AS flush_us
-      FROM routed r) WHERE flush_us IS NOT NULL""")
+             (SELECT epoch_us(min(e.ts)) FROM events e WHERE e.event_type = r.stream_name AND e.event_id % {FLUSH_EVERY} = {FLUSH_EVERY - 1} AND e.ts >= r.arrival_ts) AS at_us
+      FROM routed r)""")
 def stream_flush(spark, d):
-    """Flush commands inside the stream empty the state of every shard of their stream."""
+    """Flush commands inside the stream empty the state of every shard of their stream; the end flushes the rest."""
     s = stream_session(spark)
     every = F.array(*[F.lit(n).cast("bigint") for n, _ in fx.THREE_SHARDS])
     commands = event_stream(s, d).filter(F.col("event_id") % FLUSH_EVERY == FLUSH_EVERY - 1).select(
         F.col("event_type").alias("stream_name"), F.explode(every).alias("shard_no"), F.col("ts").alias("flush_ts"))
     rule = BatchRule(use_deadline=False)
-    out = run_to_table(processors.stream_pack(fx.routed(record_stream(s, d)), rule, commands))
+    keys = lambda: fx.routed_records(s, d).select("stream_name", "shard_no").distinct()
+    out = run_and_drain(s, lambda ends: processors.stream_pack(fx.routed(record_stream(s, d)), rule, commands.unionByName(ends)), keys, F.lit(CLOSE_AT).cast("timestamp"))
     return out.select("stream_name", "shard_no", F.col("id").alias("source_id"), "flush_us")
 
 
@@ -163,10 +167,11 @@ def stream_deaggregate(spark, d):
 def stream_late_expired(spark, d):
     """Rows beyond their time to live are counted before any stateful step."""
     s = stream_session(spark)
+    # "now" comes from outside the stream, so counts don't depend on how it is cut into micro-batches
+    newest = fx.user_records(spark, d).agg(F.max("arrival_ts").alias("t")).first()["t"]
 
     def split(batch):
         timed = intake.assign_times(batch, CFG)
-        newest = timed.agg(F.max("arrival_ts").alias("t")).first()["t"]      # one value per micro-batch
         return intake.mark_expired(timed, F.lit(newest)).groupBy("stream_name", "expired").agg(F.count(F.lit(1)).alias("n"))
 
     out = run_each_batch(record_stream(s, d), split, "stream_name string, expired boolean, n long")

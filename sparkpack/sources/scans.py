@@ -87,3 +87,11 @@ def read_after_sequence(records: DataFrame, after: str, limit: int = 1000, shard
         return later.filter(F.col("shard_no") == shard).orderBy(seq).limit(limit)
     w = Window.partitionBy("shard_no").orderBy(seq)
     return later.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit).drop("_rn")
+
+
+def read_on(records: DataFrame, after: str, limit: int = 1000) -> DataFrame:
+    """Consumer read to the end: every record after a sequence number, with the number of the page (from 0) that brings it."""
+    seq = sequence_order(F.col("sequence_number"))
+    later = records.filter(seq > F.lit(after.rjust(SEQUENCE_DIGITS, "0")))
+    place = F.row_number().over(Window.partitionBy("shard_no").orderBy(seq)) - 1
+    return later.withColumn("page", F.floor(place / limit).cast("bigint"))

@@ -17,8 +17,12 @@ PACKED = "stream_name string, shard_no long, id long, batch_rn long, pos long, f
 
 
 class PackProcessor(StatefulProcessor):
-    """Buffers records per key. Rows of a micro-batch are ordered here and deadlines are replayed between them;
-    event-time timers only serve records that wait when the batch ends. Flush rows empty the buffer."""
+    """Buffers records per key. Rows of a micro-batch are ordered here and deadlines are replayed between them, so time is
+    what the rows say and no row is ever too late for the state. Flush rows empty the buffer.
+
+    A row older than rows handled before it arrives now: its arrival becomes the key's newest one and its deadline no
+    earlier than those waiting, so it is flushed after it came and never ahead of the buffer's order.
+    """
 
     def __init__(self, rule: BatchRule):
         self.rule = rule
@@ -26,24 +30,20 @@ class PackProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buffer = handle.getListState("buffer", _BUFFER)
-        self.first = handle.getValueState("first", "rn long")
+        self.first = handle.getValueState("first", "rn long, clock long")
 
-    def _load(self) -> tuple[pd.DataFrame, int]:
+    def _load(self) -> tuple[pd.DataFrame, int, int]:
         rows = [tuple(r) for r in self.buffer.get()] if self.buffer.exists() else []
-        rn = self.first.get()[0] if self.first.exists() else 1
-        return pd.DataFrame(rows, columns=_ROW), rn
+        rn, clock = self.first.get() if self.first.exists() else (1, -NEVER)
+        return pd.DataFrame(rows, columns=_ROW), rn, clock
 
-    def _store(self, rest: pd.DataFrame, rn: int) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
+    def _store(self, rest: pd.DataFrame, rn: int, clock: int) -> None:
         if len(rest):
             plain = rest[_ROW].astype(object).where(rest[_ROW].notna(), None)
             self.buffer.put([tuple(r) for r in plain.itertuples(index=False, name=None)])
-            if self.rule.use_deadline:
-                self.handle.registerTimer(int(rest["deadline_us"].iloc[0]) // 1000 + 1)
         else:
             self.buffer.clear()
-        self.first.update((rn,))
+        self.first.update((rn, clock))
 
     def _flush(self, key, rows: pd.DataFrame, buffered: int, rn: int, until: int, forced: tuple[int, ...] = ()) -> tuple[pd.DataFrame, pd.DataFrame, int]:
         """Flushes of ordered rows of which the first `buffered` were there before; `forced` are (position, time) commands."""
@@ -58,29 +58,27 @@ class PackProcessor(StatefulProcessor):
                 flushes.append((s, e, when, "flush"))
                 s = e
         s = st.run(s, j, st.n, until, None, flushes)
-        out = [
-            (*key, int(rows["id"].iloc[i]), rn + b, i - b, when, reason)
-            for b, e, when, reason in flushes for i in range(b, e)
-        ]
+        ids = rows["id"].tolist()
+        out = [(*key, int(ids[i]), rn + b, i - b, when, reason) for b, e, when, reason in flushes for i in range(b, e)]
         return pd.DataFrame(out, columns=[c.split()[0] for c in PACKED.split(", ")]), rows.iloc[s:], rn + s
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True)
-        waiting, rn = self._load()
-        puts = new[new["kind"] == "put"].sort_values(["deadline_us", "arrival_us", "id"])
-        commands = sorted(new.loc[new["kind"] == "flush", "arrival_us"])
+        waiting, rn, clock = self._load()
+        puts = new[new["kind"] == "put"].copy()
+        if clock > -NEVER:
+            late = puts["arrival_us"] < clock
+            floor = int(waiting["deadline_us"].max()) if len(waiting) else clock
+            puts.loc[late, "deadline_us"] = puts.loc[late, "deadline_us"].clip(lower=max(floor, clock))
+            puts.loc[late, "arrival_us"] = clock
+        puts = puts.sort_values(["deadline_us", "arrival_us", "id"])
+        commands = sorted(max(clock, c) for c in new.loc[new["kind"] == "flush", "arrival_us"])
+        clock = max([clock, *(int(x) for x in (puts["arrival_us"].max(),) if len(puts)), *commands])
         merged = pd.concat([waiting, puts[_ROW]], ignore_index=True) if len(waiting) else puts[_ROW].reset_index(drop=True)
         arrived = merged["arrival_us"].to_numpy()
         forced = tuple((max(len(waiting), int((arrived <= c).sum())), int(c)) for c in commands)
         out, rest, rn = self._flush(key, merged, len(waiting), rn, -NEVER, forced)
-        self._store(rest, rn)
-        yield out
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        waiting, rn = self._load()
-        until = (timerValues.getCurrentWatermarkInMs() + 1) * 1000
-        out, rest, rn = self._flush(key, waiting, len(waiting), rn, until)
-        self._store(rest, rn)
+        self._store(rest, rn, int(clock))
         yield out
 
     def close(self) -> None:
@@ -88,7 +86,11 @@ class PackProcessor(StatefulProcessor):
 
 
 def stream_pack(records: DataFrame, rule: BatchRule, flushes: DataFrame | None = None) -> DataFrame:
-    """Batches of a stream of routed records with times; `flushes` has stream_name, shard_no, flush_ts."""
+    """Batches of a stream of routed records with times; `flushes` has stream_name, shard_no, flush_ts.
+
+    There is no watermark: Spark drops rows behind one before the state sees them. Records wait for later rows of
+    their key or for a flush row; `runner.run_and_drain` ends a stream with flush rows for every key.
+    """
     puts = records.select(
         "stream_name", "shard_no", F.lit("put").alias("kind"), F.col("source_id").alias("id"),
         F.octet_length("data").cast("bigint").alias("size"), F.unix_micros("arrival_ts").alias("arrival_us"),
@@ -101,9 +103,7 @@ def stream_pack(records: DataFrame, rule: BatchRule, flushes: DataFrame | None =
             "stream_name", "shard_no", F.lit("flush").alias("kind"), F.lit(-1).cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("size"),
             at.alias("arrival_us"), at.alias("deadline_us"), F.lit(False).alias("flag"), F.lit(None).cast("string").alias("pk"),
             F.lit(None).cast("string").alias("ehk"), F.lit(-1).cast("bigint").alias("burst_key")))
-    timed = rows.withColumn("event_ts", F.timestamp_micros("arrival_us")).withWatermark("event_ts", "0 seconds")
-    return timed.groupBy("stream_name", "shard_no").transformWithStateInPandas(
-        PackProcessor(rule), PACKED, "Append", "EventTime")
+    return rows.groupBy("stream_name", "shard_no").transformWithStateInPandas(PackProcessor(rule), PACKED, "Append", "None")
 
 
 SHAPED = "stream_name string, shard_no long, source_id long, send_s double, expired boolean"

@@ -36,6 +36,27 @@ def run_to_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+FLUSHES = "stream_name string, shard_no long, flush_ts timestamp"
+
+
+def run_and_drain(spark: SparkSession, build: Callable[[DataFrame], DataFrame], keys: Callable[[], DataFrame], close_ts) -> DataFrame:
+    """Run a stream with a control stream of flush rows to the end of its input, then flush every key and run on.
+
+    build: from the stream of flush rows to the result; keys: stream_name and shard_no of all keys. The second run
+    continues the first one's checkpoint and sees the closing rows only.
+    """
+    control, path, state = (new_path(spark, kind) for kind in ("control", "sink", "state"))
+    spark.createDataFrame([], FLUSHES).write.parquet(control)
+    df = build(spark.readStream.schema(FLUSHES).parquet(control))
+    for closing in (False, True):
+        if closing:
+            keys().select("stream_name", "shard_no", close_ts.alias("flush_ts")).write.mode("append").parquet(control)
+        q = (df.writeStream.format("parquet").outputMode("append").option("path", path)
+             .option("checkpointLocation", state).trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def run_each_batch(df: DataFrame, step: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
     """Apply a batch function to every micro-batch and append its result; a repeated batch overwrites its own folder."""
     spark = df.sparkSession

@@ -1,37 +1,51 @@
 """Several micro-batches give what the batch operators give."""
+import time
+
 from pyspark.sql import functions as F
 
 from sparkpack.operators.stage import new_path
 from sparkpack.plans import packing_queries as P
 from sparkpack.sources import fixtures as fx
 from sparkpack.streaming import processors
-from sparkpack.streaming.runner import run_to_table, stream_session
+from sparkpack.streaming.runner import run_and_drain, run_to_table, stream_session
 
 
-def parts(spark, d, n=3):
-    """The event table as n files in time order; one file per micro-batch."""
+def parts(spark, d, n=3, order=None):
+    """The event table as n files of consecutive times, written in the given order; one file per micro-batch."""
     path = new_path(spark, "events")
     ev = fx.events(spark, d)
     size = ev.count() // n + 1
-    for i in range(n):
+    for i in order or range(n):
         ev.filter(F.expr(f"event_id div {size}") == i).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)                                     # the file source orders files by time of change
     s = stream_session(spark)
-    return s.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return s, s.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def packed(spark, data_dir, order):
+    s, events = parts(spark, data_dir, order=order)
+    keys = lambda: fx.routed_records(s, data_dir).select("stream_name", "shard_no").distinct()
+    return run_and_drain(s, lambda ends: processors.stream_pack(fx.routed(fx.records_from_events(events)), P.full_rule(fx.SCALED), ends),
+                         keys, F.lit("2100-01-01").cast("timestamp")).collect()
 
 
 def test_packing_over_micro_batches(spark, data_dir):
-    stream = fx.routed(fx.records_from_events(parts(spark, data_dir)))
-    got = {r.id: (r.batch_rn, r.flush_us, r.reason) for r in run_to_table(processors.stream_pack(stream, P.full_rule(fx.SCALED))).collect()}
+    got = packed(spark, data_dir, [0, 1, 2])
     want = {r.id: (r.batch_rn, r.flush_us, r.reason) for r in P.full_batches(fx.routed_records(spark, data_dir)).collect()}
-    assert len(got) > 0.9 * len(want)
-    assert all(want[i] == v for i, v in got.items())
-    open_rns = {want[i][1] for i in want if i not in got}
-    newest = max(v[1] for v in got.values())
-    assert all(t > newest - fx.SCALED.record_max_buffered_ms * 1000 for t in open_rns)      # only the tail is still buffered
+    assert len(got) == len(want)
+    assert {r.id: (r.batch_rn, r.flush_us) for r in got} == {i: v[:2] for i, v in want.items()}
+
+
+def test_packing_loses_no_late_record(spark, data_dir):
+    """Newest file first: every record leaves once, in batches within the limits."""
+    rows = packed(spark, data_dir, [2, 0, 1])
+    ids = [r.source_id for r in fx.routed_records(spark, data_dir).select("source_id").collect()]
+    assert sorted(r.id for r in rows) == sorted(ids)
+    assert max(r.pos for r in rows) < P.full_rule(fx.SCALED).count_limit
 
 
 def test_rate_limit_over_micro_batches(spark, data_dir):
-    stream = fx.routed(fx.records_from_events(parts(spark, data_dir)))
+    stream = fx.routed(fx.records_from_events(parts(spark, data_dir)[1]))
     got = {r.source_id: r for r in run_to_table(processors.stream_rate_limit(stream, P.SLOW_RECORDS, P.BYTES)).collect()}
     from sparkpack.operators import shaping as S
     want = S.rate_limit_expired(fx.routed_records(spark, data_dir), P.SLOW_RECORDS, P.BYTES, P.payload_size(), fx.SCALED.slice_ms).collect()
