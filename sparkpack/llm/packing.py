@@ -1,6 +1,8 @@
 """Best-fit packing by a grouping genetic algorithm on islands."""
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -23,48 +25,71 @@ _SEED = 4096
 
 # Tokens ----------------------------------------------------------------------------------------------------------
 
-#: Characters for which words are tokenized one by one: printable ASCII, usual blanks, Latin letters, common marks.
-_PLAIN = r"[^\t\n\r\x20-\x7e¡-¿À-ÖØ-öø-įĲ-ňŊ-ž–-…€]"
-_CACHE = 200_000
+#: Anything but the characters for which texts are cut here: printable ASCII, usual blanks, Latin letters, common marks.
+_ODD = re.compile(r"[^\t\n\r\x20-\x7e¡-±´-¸º»¿À-ÖØ-öø-įĲ-ňŊ-ž–-…€]")
+#: Fixed value: how the tokenizer cuts lower-cased words, for the characters above.
+_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
+#: Cuts kept per generation of the table.
+_KEPT = 200_000
+
+
+class Recent:
+    """A bounded table: two generations, the older one dropped when the newer is full."""
+
+    def __init__(self, make, most: int = _KEPT):
+        self.make, self.most = make, most
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def of(self, words: Iterable[str]) -> dict[str, bytes]:
+        """A table that holds all of the words."""
+        missing = set(words).difference(self.new)
+        if len(self.new) + len(missing) > self.most and self.new:
+            self.old, self.new = self.new, {}
+            missing = set(words)
+        old = self.old
+        self.new.update((w, old[w]) for w in missing if w in old)
+        make = [w for w in missing if w not in old]
+        if make:
+            self.new.update(zip(make, self.make(make)))
+        return self.new
 
 
 class WordTokens:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer never looks across white space, so a plain text is the concatenation of its words' ids, and words are
-    kept in a bounded table. Any text with other characters or a special token's brackets goes to the tokenizer whole.
+    The tokenizer encodes each of its cuts on its own, so a plain text is the concatenation of its cuts' ids, which a
+    bounded table keeps. Any text with other characters or a special token's brackets goes to the
+    tokenizer whole.
     """
 
     def __init__(self, path: str):
-        import re
-
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # the task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.odd = re.compile(_PLAIN)
-        self.words: dict[str, bytes] = {}
+        self.cuts = Recent(self._encode)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        out: list[bytes] = []
+        for lo in range(0, len(texts), 1000):
+            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts[lo: lo + 1000], add_special_tokens=False)]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        split = {}
-        for i, t in enumerate(texts):
-            if "<|" in t or self.odd.search(t):
-                out[i] = self._encode([t])[0]
-            else:
-                split[i] = t.split()
-        table = self.words
-        if len(table) > _CACHE:
-            table.clear()
-        new = list({w for ws in split.values() for w in ws if w not in table})
-        for lo in range(0, len(new), 5000):
-            table.update(zip(new[lo: lo + 5000], self._encode(new[lo: lo + 5000])))
-        get = table.__getitem__
-        for i, ws in split.items():
-            out[i] = b"".join(map(get, ws))
-        return out
+        plain = {i: _CUT.findall(t.lower()) for i, t in enumerate(texts) if "<|" not in t and not _ODD.search(t)}
+        get = self.cuts.of([c for cuts in plain.values() for c in cuts]).__getitem__
+        return [b"".join(map(get, plain[i])) if i in plain else self._encode([t])[0] for i, t in enumerate(texts)]
+
+
+_loaded: dict[str, WordTokens] = {}
+
+
+def word_tokens(path: str) -> WordTokens:
+    """One per Python worker: tasks share its tables."""
+    if path not in _loaded:
+        _loaded[path] = WordTokens(path)
+    return _loaded[path]
 
 
 def _pieces(path: str, capacity: int, end_id: int):
@@ -72,7 +97,7 @@ def _pieces(path: str, capacity: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(path)
+        tokens = word_tokens(path)
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
                 part = batch.slice(lo, 200)
