@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -68,7 +69,11 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cuts = Recent(self._encode)
+        self.cuts = Recent(self._merge)
+        # the byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for characters from 256 on
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        rest = [b for b in range(256) if b not in plain]
+        self.alphabet = {b: 256 + i for i, b in enumerate(rest)}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -76,6 +81,15 @@ class WordTokens:
             out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts[lo: lo + 1000], add_special_tokens=False)]
         return out
 
+    def _merge(self, cuts: list[str]) -> list[bytes]:
+        """The merges of single cuts, without the tokenizer's steps before them."""
+        merge, alphabet = self.tokenizer.model.tokenize, self.alphabet
+        out = []
+        for c in cuts:
+            at = c if c.isascii() else c.encode("utf-8").decode("latin-1").translate(alphabet)
+            out.append(struct.pack(f"<{len(ids)}I", *ids) if (ids := [t.id for t in merge(at)]) else b"")
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = {i: _CUT.findall(t.lower()) for i, t in enumerate(texts) if "<|" not in t and not _ODD.search(t)}
         get = self.cuts.of([c for cuts in plain.values() for c in cuts]).__getitem__
