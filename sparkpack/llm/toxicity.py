@@ -134,8 +134,12 @@ def _maxima(model: Model):
 
 
 def evidence(model: Model, tokens, most):
-    """-log of the number of segments this good that a clean document of this length has by chance (extreme-value law)."""
-    return model.lam * most - np.log(model.k * np.maximum(tokens, 1))
+    """-log of the number of segments this good that a clean document of this length has by chance (extreme-value law).
+
+    Without a segment there is no evidence however short the document: 0 at most.
+    """
+    x = model.lam * most - np.log(model.k * np.maximum(tokens, 1))
+    return np.where(np.asarray(most) > 0, x, np.minimum(x, 0.0))
 
 
 def calibrate(model: Model, labelled: DataFrame, toxic: str = "toxic", text: str = "text") -> Model:
@@ -152,6 +156,7 @@ def calibrate(model: Model, labelled: DataFrame, toxic: str = "toxic", text: str
     model.lam = hit / (float(clean["s"] or 0) + MOST / 2)
     model.k = hit / tokens
     x = F.lit(model.lam) * F.col("most") - F.log(F.lit(model.k) * F.greatest("tokens", F.lit(1)))
+    x = F.when(F.col("most") > 0, x).otherwise(F.least(x, F.lit(0.0)))
     binned = best.select("toxic", F.greatest(F.lit(-16.0), F.least(F.lit(48.0), F.round(x * 2) / 2)).alias("x"))
     table = [(r["x"], r["toxic"], r["n"]) for r in binned.groupBy("x", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()]
     xs, ys, ns = (np.array([t[i] for t in table], float) for i in range(3))

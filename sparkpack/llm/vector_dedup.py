@@ -141,7 +141,7 @@ def _joined(least: float):
 
 def _gap2(lo_a: Column, hi_a: Column, lo_b: Column, hi_b: Column) -> Column:
     one = lambda x, y: F.greatest(F.lit(0.0), x - y)
-    gaps = F.zip_with(F.zip_with(lo_a, hi_b, one), F.zip_with(lo_b, hi_a, one), F.greatest)
+    gaps = F.zip_with(F.zip_with(lo_a, hi_b, one), F.zip_with(lo_b, hi_a, one), lambda x, y: F.greatest(x, y))
     return F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g * g)
 
 
