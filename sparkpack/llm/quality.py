@@ -69,6 +69,9 @@ def quality_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     words = F.filter(F.split(whole, _GAP), lambda w: w != "")
     docs = _repeat_words(docs.withColumn("_words", words))
     found = _metrics(F.col("_words"), whole) | _word_counts(F.col("_words"))
+    # the row number keeps a later filter above this projection: pushed below, it would evaluate the metrics again and
+    # again, inside their own lambdas too
+    found["row"] = F.monotonically_increasing_id()
     return docs.withColumns({f"_q_{k}": c for k, c in found.items()}).drop("_words", "_repeat")
 
 
@@ -113,5 +116,5 @@ def apply_quality_rules(docs: DataFrame, text: str = "text", thresholds=THRESHOL
     q = {c.removeprefix("_q_"): F.col(c) for c in out.columns if c.startswith("_q_")}
     failed = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
     shown = {k: q[k] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
-    out = out.withColumns(shown | {"base_failed": failed, "kept": ~failed & verdict(q, thresholds)})
+    out = out.withColumns(shown | {"base_failed": failed, "kept": ~failed & verdict(q, thresholds) & (q["row"] >= 0)})
     return out.drop(*[f"_q_{k}" for k in q])
