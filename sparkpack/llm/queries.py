@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from sparkpack.llm import (language, line_dedup, mixing, near_dedup, packing, pii, quality, sharding, toxicity,
                            vector_dedup)
 from sparkpack.llm.common import n_words, stage
+from sparkpack.llm.oracle import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def _query(fn):
