@@ -74,11 +74,15 @@ def map_invalidations(wrong: DataFrame) -> DataFrame:
 
 
 def retry_set(outcomes: DataFrame, cfg: PackConfig, now: Column) -> DataFrame:
-    """Retried records with their new deadline; those past their expiration fail instead."""
+    """Retried records with their new deadline; those past their expiration fail instead.
+
+    cause_code and cause_message keep the error of the attempt that led here, also where the record fails as expired.
+    """
     expired = F.col("expiration_ts") < now
     due = F.least(plus_ms(now, cfg.record_max_buffered_ms // 2), F.col("expiration_ts"))
     return outcomes.filter(F.col("outcome") == "retry").select(
-        *[c for c in outcomes.columns if c not in ("outcome", "code", "message")],
+        *[c for c in outcomes.columns if c not in ("outcome", "code", "message", "cause_code", "cause_message")],
+        F.col("code").alias("cause_code"), F.col("message").alias("cause_message"),
         F.when(expired, "fail").otherwise("retry").alias("outcome"),
         F.when(expired, EXPIRED[0]).otherwise(F.col("code")).alias("code"),
         F.when(expired, EXPIRED[1]).otherwise(F.col("message")).alias("message"),

@@ -53,9 +53,9 @@ def test_retry_deadlines(spark):
     rows = [(1, "retry", "x", "m", ms(1000)), (2, "retry", "x", "m", ms(30)), (3, "retry", "x", "m", ms(5)), (4, "success", None, None, ms(9))]
     df = spark.createDataFrame(rows, "source_id long, outcome string, code string, message string, expiration_ts timestamp")
     out = O.retry_set(df, PackConfig(record_max_buffered_ms=100), F.lit(ms(10))).select(
-        "source_id", "outcome", "code", ((F.unix_micros("deadline_ts") - F.lit(int(T0.timestamp() * 1e6))) / 1000).alias("d"))
-    got = {r.source_id: (r.outcome, r.code, r.d) for r in out.collect()}
-    assert got == {1: ("retry", "x", 60.0), 2: ("retry", "x", 30.0), 3: ("fail", "Expired", None)}
+        "source_id", "outcome", "code", "cause_code", ((F.unix_micros("deadline_ts") - F.lit(int(T0.timestamp() * 1e6))) / 1000).alias("d"))
+    got = {r.source_id: (r.outcome, r.code, r.cause_code, r.d) for r in out.collect()}
+    assert got == {1: ("retry", "x", "x", 60.0), 2: ("retry", "x", "x", 30.0), 3: ("fail", "Expired", "x", None)}
 
 
 def test_attempt_history(spark):

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from sparkpack.plans.queries import queries as plan_queries
 
-QUICK = ["put_records_scan", "validate_records", "shard_lookup_by_stream", "match_results", "record_outcome", "aggregate_records",
+QUICK = ["put_records_scan", "validate_records", "shard_lookup_by_stream", "match_results", "record_outcome", "retry_set", "union_retries", "aggregate_records",
          "deaggregate_records", "collect_requests", "rate_limit_shard", "metric_rollup", "pending_gauge", "log_levels", "delivery_report",
          "stream_flush", "stream_results_join", "stream_metrics_minute"]
 ROWS_ONLY = {"batch_full", "shard_burst_flush", "stream_pack", "put_pipeline"}
