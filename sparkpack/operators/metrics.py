@@ -131,7 +131,7 @@ def metric_batches(metrics: DataFrame, batch_size: int = 20) -> DataFrame:
     """Upload batches in order of dimension count, then dimensions. The order is scanned per name prefix."""
     text = M.dims_text(F.col("dims"))
     m = metrics.withColumns({"n_dims": F.size("dims"), "dims_text": text})
-    cut = F.concat(F.lpad(F.col("n_dims").cast("string"), 3, "0"), F.substring("dims_text", 1, 64))
+    cut = F.concat(F.lpad(F.col("n_dims").cast("string"), 10, "0"), F.substring("dims_text", 1, 64))
     numbered = row_numbers(m, [], cut, [F.col("n_dims"), F.col("dims_text")])
     return numbered.withColumns({
         "batch_no": F.floor((F.col("rn") - 1) / batch_size).cast("bigint"), "pos": (F.col("rn") - 1) % batch_size}).drop("rn")
