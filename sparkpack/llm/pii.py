@@ -3,19 +3,27 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkpack.llm.common import stage
+from sparkpack.llm.common import GOLDEN, NOT_BLANK, byte_table, golden, mix, run_hashes, runs, stage, text_chunks
 
 KINDS = ["email", "ip", "card", "phone"]
 #: Kind of what the contexts find.
 FOUND = "id"
-#: Rounds over the pattern-instance graph; an instance is taken from this score on, in two patterns or more.
-ROUNDS, ACCEPT, LEAST_PATTERNS = 3, 0.9, 2
+#: A pattern is trusted from this percentage of identifiers on.
+ACCEPT = 90
+#: Patterns have up to so many words on a side.
+REACH = 3
+#: Low bits of the patterns whose other words are counted, as a table of fixed size; a join removes what only shares bits.
+LOW_BITS = 1 << 20
+#: Other words are first counted in one of so many parts of the texts.
+PARTS = 64
 
 #: The base patterns. A start inside a digit run fails like the run's first, so runs are tried once.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -26,6 +34,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _MARKS = ".,;:!?\"'()[]{}<>#$%&*"
+_IS_MARK = byte_table(lambda b: chr(b) in _MARKS)
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -84,18 +93,6 @@ def _hash(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-def _context(words: list[tuple[int, int]], text: str, start: int, end: int, near: int) -> tuple[list[str], int]:
-    """Patterns of a span: the word before and the word after it, bare and lower-cased. near: where to look from."""
-    while near < len(words) and words[near][1] <= start:
-        near += 1
-    left = text[words[near - 1][0]: words[near - 1][1]] if near else ""
-    k = near
-    while k < len(words) and words[k][0] < end:
-        k += 1
-    right = text[words[k][0]: words[k][1]] if k < len(words) else ""
-    return ["L" + left.lower().strip(_MARKS), "R" + right.lower().strip(_MARKS)], near
-
-
 def _refused(core: str) -> bool:
     """A card or address whose test failed is not offered again."""
     if all(c in "0123456789- ." for c in core):
@@ -103,15 +100,21 @@ def _refused(core: str) -> bool:
     return False
 
 
-def occurrences(text: str, spans: list[list[tuple[int, int]]]) -> list[tuple[int, int, int, bool, list[int]]]:
-    """Instances in a text: (start, end, instance, seed, patterns). Seeds are the base spans; the others are words with a digit, bare of marks, of six characters or more, that touch no base span."""
-    if not any(spans) and not _DIGIT.search(text):
-        return []
+def places(text: str, spans: list[list[tuple[int, int]]]) -> tuple[list[tuple[int, int, bool, bool, int, int]], int]:
+    """Instances in a text as (start, end, seed, mixed, first word, last word), and the text's number of words.
+
+    Seeds are the base spans; the others are words with a digit, bare of marks, of six characters or more, that touch no
+    base span; mixed ones have letters too.
+    """
     words = [m.span() for m in _WORD.finditer(text)]
+    if not any(spans) and not _DIGIT.search(text):
+        return [], len(words)
+    out, k = [], 0
     seeds = sorted(s for kind in spans for s in kind)
-    marks, out, near = [(a, b, True) for a, b in seeds], [], 0
-    k = 0
-    for a, b in words:
+    starts, ends = [w[0] for w in words], [w[1] for w in words]
+    for a, b in seeds:
+        out.append((a, b, True, False, bisect_right(ends, a), bisect_left(starts, b) - 1))
+    for at, (a, b) in enumerate(words):
         while k < len(seeds) and seeds[k][1] <= a:
             k += 1
         if k < len(seeds) and seeds[k][0] < b:
@@ -119,68 +122,167 @@ def occurrences(text: str, spans: list[list[tuple[int, int]]]) -> list[tuple[int
         token = text[a:b]
         core = token.strip(_MARKS)
         if len(core) >= 6 and _DIGIT.search(core) and not _refused(core):
-            at = a + token.index(core)
-            marks.append((at, at + len(core), False))
-    for a, b, seed in sorted(marks):
-        patterns, near = _context(words, text, a, b, max(0, near - 1))
-        out.append((a, b, _hash(text[a:b].lower()), seed, [_hash(p) for p in patterns if len(p) > 1]))
-    return out
+            start = a + token.index(core)
+            out.append((start, start + len(core), False, any(c.isalpha() for c in core), at, at))
+    return sorted(out), len(words)
+
+
+def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, bare of marks (a word of marks alone stays) and with A-Z lower-cased, and its document."""
+    starts, ends, doc = runs(data, offsets, NOT_BLANK)
+    a, b = starts.copy(), ends.copy()
+    live = np.arange(len(a))
+    while len(live := live[(a[live] < b[live])][_IS_MARK[data[a[live[a[live] < b[live]]]]]]):
+        a[live] += 1
+    live = np.arange(len(a))
+    while len(live := live[(a[live] < b[live])][_IS_MARK[data[b[live[a[live] < b[live]]] - 1]]]):
+        b[live] -= 1
+    bare = a < b
+    return run_hashes(data, np.where(bare, a, starts), np.where(bare, b, ends)), doc
 
 
-_SEEN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("instance", pa.int64()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.int64()))]))
+def contexts(h: np.ndarray, doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns of instances over the words first .. last: hashes (instances x 2 * REACH + 2) and which of them there are.
+
+    One to REACH words on the left, as many on the right, and one or two words on both sides together.
+    """
+    n = len(h)
+    kinds, there = [], []
+    for side, edge, step in ((1, first, -1), (2, last, 1)):
+        x, ok = np.full(len(first), golden(side), np.uint64), np.ones(len(first), bool)
+        for k in range(1, REACH + 1):
+            at = edge + step * k
+            ok = ok & (at >= 0) & (at < n)
+            at = np.clip(at, 0, max(0, n - 1))
+            ok = ok & (doc[at] == doc[first])
+            x = mix((x ^ h[at]) + golden(k))
+            kinds.append(x)
+            there.append(ok)
+    for k in range(2):
+        kinds.append(mix(kinds[k] * GOLDEN + kinds[REACH + k]))
+        there.append(there[k] & there[REACH + k])
+    return np.stack(kinds, 1), np.stack(there, 1)
+
+
+_SEEN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("instance", pa.int64()), ("seed", pa.bool_()), ("mixed", pa.bool_()), ("patterns", pa.list_(pa.int64()))]))
 _SCAN = pa.schema([("no", pa.int64()), ("doc_id", pa.int64()), *[(f"n_{k}", pa.int64()) for k in KINDS], ("base", pa.string()), ("seen", _SEEN)])
 
 
 def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo in range(0, batch.num_rows, 500):
-            part = batch.slice(lo, 500)
-            counts, base, seen = [], [], []
+        for lo, hi, data, offsets in text_chunks(batch.column(2)):
+            part = batch.slice(lo, hi - lo)
+            counts, base, seen, found, passed = [], [], [], [], 0
             for text in part.column(2).to_pylist():
                 text = text or ""
                 spans = base_spans(text)
                 counts.append([len(s) for s in spans])
                 base.append(",".join(x for kind, s in zip(KINDS, spans) for x in _joined(kind, s)))
-                seen.append([dict(zip(("start", "end", "instance", "seed", "patterns"), o)) for o in occurrences(text, spans)])
+                here, n = places(text, spans)
+                seen.append([{"start": a, "end": b, "instance": _hash(text[a:b].lower()), "seed": seed, "mixed": mixed} for a, b, seed, mixed, _, _ in here])
+                found += [(passed + i, passed + j) for *_, i, j in here]
+                passed += n
+            if found:
+                at = np.array(found, np.int64)
+                kinds, there = contexts(*_word_hashes(data, offsets), at[:, 0], at[:, 1])
+                rows = iter(zip(kinds.view(np.int64), there))
+                for o in (o for os in seen for o in os):
+                    k, ok = next(rows)
+                    o["patterns"] = k[ok].tolist()
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array([c[i] for c in counts], pa.int64()) for i in range(4)],
                                               pa.array(base, pa.string()), pa.array(seen, _SEEN)], schema=_SCAN)
 
 
-def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Instances with score and n_patterns, from distinct edges (instance, seed, pattern).
-
-    A pattern's confidence is the mean score of its instances, one doubtful instance added; an instance's score is the
-    chance that one of its patterns is right (noisy or). Seeds stay at 1. Sums are combined before each shuffle,
-    so a word around a third of all instances is a partial sum per task.
+def _other_words(wanted: np.ndarray):
+    """Per chunk of texts the distinct (pattern, word) of words that are no instance, of patterns whose low bits are wanted."""
+    schema = pa.schema([("pattern", pa.int64()), ("word", pa.int64())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in text_chunks(batch.column(0)):
+                h, doc = _word_hashes(data, offsets)
+                taken, passed = np.zeros(len(h), bool), 0
+                for text in batch.column(0).slice(lo, hi - lo).to_pylist():
+                    here, n = places(text or "", base_spans(text or ""))
+                    for *_, i, j in here:
+                        taken[passed + i: passed + j + 1] = True
+                    passed += n
+                words = np.flatnonzero(~taken)
+                if not len(words):
+                    continue
+                kinds, there = contexts(h, doc, words, words)
+                row, col = np.nonzero(there & wanted[(kinds & np.uint64(len(wanted) - 1)).astype(np.int64)])
+                pairs = np.unique(np.stack([kinds[row, col], h[words[row]]], 1), axis=0).view(np.int64)
+                if len(pairs):
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
+    return run
+
+
+def other_words(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Per pattern the number of distinct words in it that are no instance (n_other); patterns without one have no row."""
+    low = [r[0] for r in patterns.select(F.pmod("pattern", F.lit(LOW_BITS))).distinct().collect()]
+    wanted = np.zeros(LOW_BITS, bool)
+    wanted[low] = True
+    pairs = texts.mapInArrow(_other_words(wanted), "pattern long, word long").join(patterns, "pattern", "left_semi")
+    return pairs.distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("n_other"))
+
+
+def trusted_patterns(edges: DataFrame, others: DataFrame) -> DataFrame:
+    """Patterns to trust, from distinct edges (instance, seed, mixed, pattern) and the number of other words in a pattern.
+
+    A pattern is trusted if ACCEPT percent of the distinct words and instances in it, and one doubtful one, are identifiers.
+    Seeds always are. Mixed instances count as such until no trusted pattern is left around them; numbers,
+    dates and amounts only once a trusted pattern holds them. First patterns are dropped until none changes, then added
+    until none changes; both only go one way, so both end.
     """
-    scores = stage(edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"), F.count(F.lit(1)).alias("n_patterns")))
-    for _ in range(rounds):
-        patterns = stage(edges.join(scores, "instance").groupBy("pattern")
-                         .agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("conf")))
-        wrong = F.sum(F.log(1 - F.least(F.lit(0.999), F.col("conf"))))
-        scores = stage(edges.join(patterns, "pattern").groupBy("instance").agg(
-            F.when(F.max(F.col("seed").cast("int")) == 1, F.lit(1.0)).otherwise(1 - F.exp(wrong)).alias("score"), F.count(F.lit(1)).alias("n_patterns")))
-    return scores
+    first = edges.withColumn("right", F.col("seed") | F.col("mixed"))
+    edges = stage(first.join(others, "pattern", "left").withColumn("n_other", F.coalesce("n_other", F.lit(0).cast("long"))))
+
+    def of(rows: DataFrame) -> DataFrame:
+        counts = rows.groupBy("pattern").agg(F.sum(F.col("right").cast("long")).alias("good"), F.count(F.lit(1)).alias("n"), F.max("n_other").alias("o"))
+        return stage(counts.filter(F.col("good") * 100 >= ACCEPT * (F.col("n") + F.col("o") + 1)).select("pattern"))
+
+    trusted = of(edges)
+    for rising in (False, True):
+        while True:
+            held = edges.join(trusted, "pattern", "left_semi").select("instance").distinct().withColumn("held", F.lit(True))
+            right = F.col("seed") | (F.col("held") if rising else F.col("held") & F.col("mixed"))
+            rows = edges.drop("right").join(held, "instance", "left").withColumn("held", F.coalesce("held", F.lit(False)))
+            after = of(rows.withColumn("right", right))
+            if after.count() == trusted.count():
+                break
+            trusted = after
+    return trusted
 
 
 def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every whole text.
 
     spans: kind:start:end in code points, end exclusive, by kind (email, ip, card, phone, then id for what contexts found)
-    and start, joined by commas; base_sha256 is the hash of the base part alone. Null text counts as empty. The
-    words next to base matches are the first patterns; patterns and instances score each other over the whole
-    corpus, and other words with digits that stand in trusted patterns on both sides become ids. Repeated rows
-    are scanned each; other columns are ignored.
+    and start, joined by commas; base_sha256 is the hash of the base part alone. Null text counts as empty. Patterns
+    are the one to three words on a side and the one or two on both; all words that a pattern holds in the corpus count
+    for or against it, and another word with digits becomes an id where a trusted pattern stands around it.
+    Repeated rows are scanned each; other columns are ignored.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("no"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    kind = "array<struct<start:long,end:long,instance:long,seed:boolean,patterns:array<long>>>"
+    kind = "array<struct<start:long,end:long,instance:long,seed:boolean,mixed:boolean,patterns:array<long>>>"
     base = stage(rows.mapInArrow(_scan, f"no long, doc_id long, {counts}, base string, seen {kind}"))
     seen = base.filter(F.size("seen") > 0).select("no", F.explode("seen").alias("o")).select("no", "o.*")
-    edges = stage(seen.select("instance", "seed", F.explode("patterns").alias("pattern")).groupBy("instance", "pattern")
-                  .agg(F.max("seed").alias("seed")))
-    good = stage(score_graph(edges).filter((F.col("score") >= ACCEPT) & (F.col("n_patterns") >= LEAST_PATTERNS)).select("instance"))
-    more = seen.filter("not seed").join(good, "instance", "left_semi")
+    edges = stage(seen.select("instance", "seed", "mixed", F.explode("patterns").alias("pattern")).groupBy("instance", "pattern")
+                  .agg(F.max("seed").alias("seed"), F.max("mixed").alias("mixed")))
+    # a pattern of fewer instances can't reach the percentage, one without candidates has nothing to decide
+    enough = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.min("seed").alias("all"))
+    enough = stage(enough.filter((F.col("n") * 100 >= ACCEPT * (F.col("n") + 1)) & ~F.col("all")).select("pattern", "n"))
+    # what too many other words of a part of the texts rule out, the whole can't bring back
+    some = F.pmod(F.xxhash64(text), F.lit(PARTS)) == 0
+    for texts in (docs.filter(some), docs):
+        others = stage(other_words(texts.select(F.col(text).alias("text")), enough))
+        open_ = enough.join(others, "pattern", "left").withColumn("n_other", F.coalesce("n_other", F.lit(0).cast("long")))
+        enough = stage(open_.filter(F.col("n") * 100 >= ACCEPT * (F.col("n") + F.col("n_other") + 1)).select("pattern", "n"))
+    trusted = trusted_patterns(edges.join(enough, "pattern", "left_semi"), others)
+    around = seen.filter("not seed").select("no", "start", "end", F.explode("patterns").alias("pattern"))
+    more = around.join(trusted, "pattern", "left_semi").select("no", "start", "end").distinct()
     place = F.concat_ws(":", F.lit(FOUND), F.col("start").cast("string"), F.col("end").cast("string"))
     # the two lists of a document meet on its row number, which the scan wrote down
     more = more.groupBy(F.col("no").alias("_no")).agg(F.array_sort(F.collect_list(F.struct("start", place.alias("s")))).alias("found"))

@@ -347,6 +347,23 @@ def test_personal_data(spark, docs, empty):
     assert pii.find_personal_data(empty).count() == 0
 
 
+def test_equal_contexts_get_equal_verdicts(spark):
+    for sf in ("sf0.01", "sf0.1"):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        ids = {r.doc_id: r.spans for r in pii.find_personal_data(docs).collect()}
+        n = 0
+        for r in docs.collect():
+            for m in re.finditer(r'token = "([0-9a-f]{40})"', r.text or ""):
+                n += 1
+                assert f"id:{m.start(1)}:{m.end(1)}" in ids[r.doc_id].split(","), (sf, r.doc_id)
+        assert n > 10
+    rows = [(i, f"Dated {1900 + i}-01-02 in all, the key is K{i}-{i * 7919} for you") for i in range(40)] + [(99, "Dated K77-1234 then")]
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        want = [m.span() for m in re.finditer(r"(?<=key is )\S+", t) if len(m[0]) >= 6]
+        assert got[i] == ",".join(f"id:{a}:{b}" for a, b in want), (t, got[i])
+
+
 def test_pipeline(spark, data_dir):
     import corpus_pipeline
     docs = spark.read.parquet(f"{data_dir}/documents.parquet")
