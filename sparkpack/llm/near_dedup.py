@@ -91,7 +91,7 @@ def super_minhash(h: np.ndarray, counts: np.ndarray, m: int) -> np.ndarray:
 
 
 def _signatures(k: int, bands: int, rows: int):
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("fp", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("fp", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
     m = bands * rows
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +109,7 @@ def _signatures(k: int, bands: int, rows: int):
                 key = mix(key + np.arange(bands, dtype=np.uint64)[None, :]).view(np.int64)
                 short = (mix(sig) & np.uint64(0xFF)).astype(np.uint8).tobytes()
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(lo, hi - lo), pa.array(counts.astype(np.int64)),
+                    ids.slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(counts.astype(np.int64)),
                     pa.array([fp[16 * i: 16 * i + 16] for i in range(hi - lo)], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * bands), pa.array(key.ravel())),
                     pa.array([short[m * i: m * i + m] for i in range(hi - lo)], pa.binary()),
@@ -201,11 +201,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     Null or wordless texts have no set and link with nothing. A null id counts as smaller than all others, and such a
     component's component_id is null; repeated rows are copies. Other columns are ignored.
     """
+    base = docs.select(id_key(key).alias("id"), F.col(text).alias("text"), F.lit(0).cast("long").alias("row"))
+    made, named = _grouped(base, words, percent, bands, rows)
+    named = named.select(F.col("fp").alias("_fp"), F.col("first.id").alias("component_id"))
+    out = made.select("id", "n", "fp").join(named, (F.col("fp") == F.col("_fp")) & (F.col("n") > 0), "left")
+    component = F.coalesce("component_id", "id")
+    real = lambda c: F.when(c != F.lit(-(2**63)), c)
+    return out.select(real(F.col("id")).alias(key), F.col("n").alias("n_shingles"), real(component).alias("component_id"),
+                      (F.col("id") == component).alias("kept"))
+
+
+def _grouped(base: DataFrame, words: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Staged signatures of the rows of base (id, text, row), and per set (fp) its component's first (id, fp, row)."""
     m = bands * rows
-    base = docs.select(id_key(key).alias("id"), F.col(text).alias("text"))
-    made = base.mapInArrow(_signatures(words, bands, rows), "id long, n long, fp binary, bands array<long>, sig binary")
+    made = base.mapInArrow(_signatures(words, bands, rows), "id long, row long, n long, fp binary, bands array<long>, sig binary")
     made = stage(made)
-    classes = stage(made.filter("n > 0").groupBy("fp").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+    classes = made.filter("n > 0").groupBy("fp").agg(F.min(F.struct("id", "row")).alias("least"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    classes = stage(classes.select("fp", "least.id", "least.row", "bands", "sig"))
     keys = classes.select("fp", F.explode("bands").alias("bucket"))
     full = stage(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket"))
     shared = stage(keys.join(full, "bucket"))
@@ -215,23 +227,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     least = similarity - SLACK * math.sqrt(similarity * (1 - similarity) / m)
     maybe = stage(signed.mapInArrow(_agreeing(m, least), "a binary, b binary").distinct())
     clusters = components(maybe)
-    members = stage(clusters.join(classes.select("fp", "id"), clusters["node"] == classes["fp"])
-                    .select("id", F.col("fp").alias("_fp"), F.xxhash64("label").alias("cluster")))
-    texts = base.join(members.hint("shuffle_hash"), "id").select("cluster", F.col("_fp").alias("fp"), "text")
+    members = stage(clusters.join(classes.select("fp", "id", "row"), clusters["node"] == classes["fp"])
+                    .select("id", "row", F.col("fp").alias("_fp"), F.xxhash64("label").alias("cluster")))
+    texts = base.join(members.hint("shuffle_hash"), ["id", "row"]).select("cluster", F.col("_fp").alias("fp"), "text")
     sets = texts.mapInArrow(_checked_sets(words), "cluster long, fp binary, sets array<long>")
     sets = stage(sets.dropDuplicates(["fp"]))
     blocks = _in_blocks(sets, "cluster", BLOCK).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     links = stage(blocks.mapInArrow(_verified(percent), "a binary, b binary").distinct())
     groups = components(links)
-    named = classes.select("fp", "id").join(groups, classes["fp"] == groups["node"], "left")
-    named = stage(named.select("fp", F.coalesce("label", "fp").alias("label"), "id"))
-    smallest = named.groupBy("label").agg(F.min("id").alias("component_id"))
-    named = stage(named.join(smallest, "label").select("fp", "component_id"))
-    out = made.select("id", "n", "fp").join(named.withColumnRenamed("fp", "_fp"), (F.col("fp") == F.col("_fp")) & (F.col("n") > 0), "left")
-    component = F.coalesce("component_id", "id")
-    real = lambda c: F.when(c != F.lit(-(2**63)), c)
-    return out.select(real(F.col("id")).alias(key), F.col("n").alias("n_shingles"), real(component).alias("component_id"),
-                      (F.col("id") == component).alias("kept"))
+    named = classes.select("fp", "id", "row").join(groups, classes["fp"] == groups["node"], "left")
+    named = stage(named.select("fp", F.coalesce("label", "fp").alias("label"), "id", "row"))
+    first = named.groupBy("label").agg(F.min(F.struct("id", "fp", "row")).alias("first"))
+    return made, stage(named.join(first, "label").select("fp", "first"))
 
 
 def _checked_sets(k: int):
@@ -256,11 +263,16 @@ def _checked_sets(k: int):
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents of which `near_duplicates` keeps one per component; all columns as they were.
+    """One row of each component of `near_duplicates`; all columns as they were.
 
-    A document stays if its id is the component's smallest; rows without an id stay. Of rows that repeat an id, one with
-    the kept set stays.
+    Rows are told apart by a row number, so rows that repeat an id, or have none, are documents of their own: the row of
+    the smallest id stays (no id counts as smallest), then of the smallest fingerprint, then the first. Rows without a
+    word link with nothing and stay.
     """
-    found = near_duplicates(docs, key, text, words, percent)
-    drop = stage(found.filter("not kept").select(F.col(key).alias("_gone")).distinct())
-    return docs.join(drop.hint("shuffle_hash"), F.col(key) == F.col("_gone"), "left_anti")
+    docs = stage(docs.withColumn("_row", F.monotonically_increasing_id()))
+    base = docs.select(id_key(key).alias("id"), F.col(text).alias("text"), F.col("_row").alias("row"))
+    made, named = _grouped(base, words, percent, BANDS, ROWS)
+    named = named.select(F.col("fp").alias("_fp"), F.col("first.row").alias("_first"))
+    out = made.filter("n > 0").select("row", "fp").join(named, F.col("fp") == F.col("_fp"))
+    drop = stage(out.filter("row <> _first").select(F.col("row").alias("_gone")))
+    return docs.join(drop.hint("shuffle_hash"), F.col("_row") == F.col("_gone"), "left_anti").drop("_row")

@@ -99,6 +99,35 @@ def test_near_duplicates_of_nothing(empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_keep_one_of_each_drops_rows_not_ids(spark):
+    rng = random.Random(5)
+    own = lambda: [f"w{rng.randrange(10**9)}" for _ in range(100)]
+    kinds = [own() for _ in range(12)]
+    rows = [(i, " ".join(own())) for i in range(4)] + [(5, None), (5, ""), (None, None)]
+    for _ in range(50):
+        t = list(rng.choice(kinds))
+        if rng.random() < 0.5:
+            t[rng.randrange(100)] = "other"
+        rows += [(rng.choice([None, *range(9)]), " ".join(t))] * rng.choice([1, 1, 2])
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n long").repartition(3)
+    left = near_dedup.keep_one_of_each(df)
+    assert left.columns == ["doc_id", "text", "n"]
+    left = left.collect()
+    sets = {}
+    for n, (_, t) in enumerate(rows):
+        w = words(t or "")
+        sets[n] = frozenset(zip(*(w[j:] for j in range(5))))
+    group = linked(sets, 80)
+    blank = {n for n in sets if not sets[n]}
+    kept = {r.n for r in left}
+    assert len(kept) == len(left) and blank <= kept
+    assert sorted(group[n] for n in kept - blank) == sorted({group[n] for n in sets if n not in blank})
+    rank = lambda n: -1 if rows[n][0] is None else rows[n][0]
+    for n in kept - blank:
+        assert rank(n) == min(rank(x) for x in sets if group[x] == group[n])
+
+
 def test_super_minhash_estimates_similarity():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 2**63, 900).astype(np.uint64)
