@@ -96,4 +96,87 @@ SELECT doc_id, n AS n_shingles, coalesce(c, doc_id) AS component_id, coalesce(c,
 FROM sized LEFT JOIN least ON least.x = doc_id
 """
 
-ORACLES = {"op2_near_dedup": NEAR_DEDUP, "op5_vector_dedup": VECTOR_DEDUP, "op7_quality_rules": quality_sql()}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Every pair of sources over every kept term.
+SOURCE_AUDIT = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rn, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents
+), word AS (
+    SELECT rn, lang, source, unnest(regexp_extract_all({_LOWER.format("t")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS total FROM word GROUP BY ALL HAVING count(DISTINCT rn) >= 30
+), cell AS (
+    SELECT lang, source, term, count(*) AS n FROM word SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), size AS (
+    SELECT lang, source, coalesce(sum(n), 0) AS size FROM groups LEFT JOIN cell USING (lang, source) GROUP BY ALL
+), v AS (
+    SELECT lang, count(*) AS v, sum(total) AS total_all FROM kept GROUP BY lang
+), p AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (s.size + 5 * v.v) AS p,
+           1 + (1000000000::HUGEINT * (k.total + 5)) // (v.total_all + 5 * v.v) AS q
+    FROM groups g JOIN kept k ON k.lang = g.lang JOIN v ON v.lang = g.lang JOIN size s ON s.lang = g.lang AND s.source = g.source
+    LEFT JOIN cell c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL
+), part AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q
+), numbered AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM part
+)
+SELECT * FROM numbered WHERE part = 'pair' OR rank <= 50
+"""
+
+
+def resampling_sql() -> str:
+    """CRC-32 folded over the bits of every distinct word, then the whole order ranked."""
+    words = f"regexp_extract_all({_LOWER.format('coalesce(text, chr(32))')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rn, doc_id, {words} AS ws FROM documents
+), raw AS (
+    SELECT w, rn FROM (SELECT rn, unnest(ws) AS w FROM docs)
+), aim AS (
+    SELECT unnest({words}) AS w FROM benchmark
+), spelled AS (
+    SELECT w, hex(encode(w)) AS x FROM (SELECT w FROM raw UNION SELECT w FROM aim)
+), bits AS (
+    SELECT w, list_transform(range(0, 4 * len(x)), lambda i: (('0x' || substr(x, 2 * (i // 8) + 1, 2))::BIGINT >> (i % 8)) & 1) AS bits FROM spelled
+), hashed AS (
+    SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, bits), lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295::BIGINT) % 10000 AS bucket
+    FROM bits
+), s AS (
+    SELECT bucket, count(*) AS s FROM raw JOIN hashed USING (w) GROUP BY 1
+), t AS (
+    SELECT bucket, count(*) AS t FROM aim JOIN hashed USING (w) GROUP BY 1
+), gain AS (
+    SELECT bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM raw) + 10000))
+        / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM aim) + 10000)))) AS BIGINT) AS gain
+    FROM (SELECT DISTINCT bucket FROM hashed) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)
+), mean AS (
+    SELECT rn, count(*) AS n_features, sum(gain) AS total FROM raw JOIN hashed USING (w) JOIN gain USING (bucket) GROUP BY 1
+), noise AS (
+    SELECT rn, doc_id, ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM docs
+), scored AS (
+    SELECT rn, doc_id, coalesce(n_features, 0) AS n_features,
+           coalesce(CASE WHEN total >= 0 THEN total // n_features ELSE -((-total + n_features - 1) // n_features) END, 0) AS weight,
+           CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS gumbel
+    FROM noise LEFT JOIN mean USING (rn)
+), ranked AS (
+    SELECT rn, row_number() OVER (ORDER BY weight + gumbel DESC, doc_id NULLS LAST, rn) AS rank FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(weight + gumbel AS BIGINT) AS score,
+       CASE WHEN rank <= 10 * (SELECT count(*) FROM ranked) // 100 THEN CAST(rank AS BIGINT) END AS rank
+FROM scored LEFT JOIN ranked USING (rn)
+"""
+
+
+ORACLES = {"op2_near_dedup": NEAR_DEDUP, "op5_vector_dedup": VECTOR_DEDUP, "op7_quality_rules": quality_sql(),
+           "op11_source_audit": SOURCE_AUDIT, "op12_resampling": resampling_sql()}
