@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkpack.llm import (divergence, language, line_dedup, mixing, near_dedup, packing, pii, quality, resampling,
-                           sharding, toxicity, vector_dedup)
+from sparkpack.llm import (divergence, extraction, language, line_dedup, mixing, near_dedup, packing, pii, quality,
+                           resampling, sharding, toxicity, vector_dedup)
 from sparkpack.llm.common import n_words, stage
 from sparkpack.llm.oracle import ORACLES  # noqa: F401
 
@@ -109,6 +109,11 @@ def op12_resampling(spark: SparkSession, d: str) -> DataFrame:
     return resampling.resample(_documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
 
 
+@_query
+def op13_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return extraction.extract_pages(spark.read.parquet(f"{d}/pages.parquet"))
+
+
 @_query
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     """The whole corpus pipeline at the repository top."""
