@@ -10,6 +10,7 @@ from sparkpack.operators import codec as C
 from sparkpack.operators import shaping as S
 from sparkpack.operators.fold import BatchRule
 from sparkpack.operators.stage import materialize
+from sparkpack.plans.oracle import varlen
 from sparkpack.plans.registry import query
 from sparkpack.sources import fixtures as fx
 
@@ -104,7 +105,64 @@ def full_batches(records: DataFrame, cfg: PackConfig = CFG, flag=None) -> DataFr
     return B.fold_batches(records, full_rule(cfg), size=F.octet_length("data"), flag=flag, **layout(cfg))
 
 
-@query("batch_full")
+def full_sql(flag: str, body: str, cfg: PackConfig = CFG, records: str = "routed") -> str:
+    """The full rule, flush by flush: `fold` has one row per record with its batch.
+
+    spans holds, for every possible first record s of a buffer, the estimate and the exact size up to each record t that can
+    still trigger; walk goes from flush to flush with s and the next record j to be added.
+    """
+    n, limit, margin = cfg.aggregation_max_count, cfg.aggregation_max_size, full_rule(cfg).margin
+    key = "stream_name, shard_no"
+
+    def text(col: str) -> str:
+        return f"1 + {varlen(f'strlen({col})')} + strlen({col})"
+    return f"""
+    WITH RECURSIVE o AS (
+      SELECT {key}, source_id, strlen(data) AS size, partition_key AS pk, explicit_hash_key AS ehk, epoch_us(arrival_ts) AS arr, epoch_us(deadline_ts) AS due,
+             {flag} AS flag, row_number() OVER (PARTITION BY {key} ORDER BY deadline_ts, arrival_ts, source_id) AS rn, count(*) OVER (PARTITION BY {key}) AS n,
+             max(epoch_us(arrival_ts)) OVER (PARTITION BY {key}) AS last
+      FROM {records}),
+    seen AS (
+      SELECT *, coalesce(lag(rn) OVER (PARTITION BY {key}, pk ORDER BY rn), 0) AS pk_before,
+             CASE WHEN ehk IS NOT NULL THEN coalesce(lag(rn) OVER (PARTITION BY {key}, ehk ORDER BY rn), 0) END AS ehk_before,
+             lag(arr) OVER (PARTITION BY {key} ORDER BY rn) AS arr_before,
+             2 + CASE WHEN ehk IS NULL THEN 0 ELSE 2 END + CASE WHEN size > 0 THEN 1 + {varlen('size')} + size ELSE 0 END AS body
+      FROM o),
+    steps AS (
+      SELECT a.stream_name, a.shard_no, a.rn AS s, a.due, a.n, a.last, b.rn AS t, b.arr, b.arr_before, b.flag, b.size,
+             b.size + 5 + CASE WHEN b.pk_before < a.rn THEN length(b.pk) + 3 ELSE 0 END + CASE WHEN b.ehk IS NULL THEN 0 ELSE 2 END
+               + CASE WHEN b.ehk_before < a.rn THEN length(b.ehk) + 3 ELSE 0 END AS est,
+             1 + {varlen('b.body')} + b.body + CASE WHEN b.pk_before < a.rn THEN {text('b.pk')} ELSE 0 END
+               + CASE WHEN b.ehk_before < a.rn THEN {text('b.ehk')} ELSE 0 END AS exact
+      FROM seen a JOIN seen b ON b.stream_name = a.stream_name AND b.shard_no = a.shard_no AND b.rn BETWEEN a.rn AND a.rn + {n - 1}),
+    spans AS (
+      SELECT {key}, s, due, n, last, t, arr, arr_before, flag,
+             CASE WHEN t = s THEN size ELSE 12 + sum(est) OVER w END AS est, CASE WHEN t = s THEN size ELSE 26 + sum(exact) OVER w END AS exact
+      FROM steps WINDOW w AS (PARTITION BY {key}, s ORDER BY t)),
+    starts AS MATERIALIZED (
+      SELECT {key}, s, any_value(due) AS due, any_value(n) AS n, any_value(last) AS last, coalesce(min(t) FILTER (exact + {margin} > {limit}), s + {n}) AS over,
+             list({{'t': t, 'why': why, 'arr': arr, 'before': arr_before}} ORDER BY t) FILTER (why IS NOT NULL) AS hits
+      FROM (SELECT *, CASE WHEN t > s AND arr > due THEN 'deadline' WHEN t + 1 - s >= {n} THEN 'count' WHEN est + {margin} >= {limit} THEN 'size'
+                           WHEN flag THEN 'flag' END AS why FROM spans) GROUP BY {key}, s),
+    walk AS (
+      SELECT stream_name, shard_no, 0::BIGINT AS b, 0::BIGINT AS e, NULL::BIGINT AS flush_us, NULL::VARCHAR AS reason, 1::BIGINT AS s, 1::BIGINT AS j
+      FROM o WHERE rn = 1
+      UNION ALL
+      SELECT {key}, s, least(stop, greatest(s + 1, over)), at_us, why, least(stop, greatest(s + 1, over)), next
+      FROM (SELECT x.stream_name, x.shard_no, x.s, x.over, coalesce(h.why, 'deadline') AS why,
+                   CASE WHEN h.t IS NULL THEN x.n + 1 WHEN h.why = 'deadline' THEN h.t ELSE h.t + 1 END AS next,
+                   CASE WHEN h.t IS NULL THEN x.n + 1 WHEN h.why = 'deadline' THEN h.t ELSE h.t + 1 END AS stop,
+                   CASE WHEN h.t IS NULL THEN greatest(x.due, x.last)
+                        WHEN h.why = 'deadline' THEN greatest(x.due, h.before) ELSE h.arr END AS at_us
+            FROM (SELECT starts.*, list_filter(coalesce(hits, []), lambda i: i.t >= j)[1] AS h
+                  FROM walk JOIN starts ON starts.stream_name = walk.stream_name AND starts.shard_no = walk.shard_no AND starts.s = walk.s) x)),
+    fold AS (
+      SELECT o.stream_name, o.shard_no, o.source_id, w.b AS batch_rn, o.rn - w.b AS pos, w.flush_us, w.reason
+      FROM walk w JOIN o ON o.stream_name = w.stream_name AND o.shard_no = w.shard_no AND o.rn >= w.b AND o.rn < w.e)
+    {body}"""
+
+
+@query("batch_full", full_sql("source_id % 101 = 0", "SELECT * FROM fold"))
 def batch_full(spark, d):
     """All triggers together: count, size estimate, a caller's condition, deadline."""
     out = full_batches(fx.routed_table(spark, d), flag=F.col("source_id") % 101 == 0)

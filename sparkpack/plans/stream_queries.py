@@ -13,8 +13,8 @@ from sparkpack.plans import packing_queries as P
 from sparkpack.plans.registry import query
 from sparkpack.sources import fixtures as fx
 from sparkpack.sources import scans
-from sparkpack.streaming import processors
-from sparkpack.streaming.runner import run_and_drain, run_each_batch, run_to_table, stream_session, table_stream
+from sparkpack.streaming import outcomes, processors, statistics
+from sparkpack.streaming.runner import run_and_close, run_each_batch, run_to_table, stream_session, table_stream
 
 US = F.unix_micros
 CFG = fx.SCALED
@@ -37,16 +37,17 @@ def stream_put_scan(spark, d):
     return r.select("source_id", "stream_name", "partition_key", "explicit_hash_key", F.hex("data").alias("data_hex"), US("arrival_ts").alias("arrival_us"))
 
 
-@query("stream_pack")
+@query("stream_pack", P.full_sql("false", """
+    SELECT stream_name, shard_no, source_id AS id, batch_rn, pos, flush_us, reason, false AS late FROM fold"""))
 def stream_pack(spark, d):
-    """Packing with state per stream and shard; the end of the stream flushes what still waits."""
+    """Packing with state per stream and shard; deadlines fire by the event clock, which the end of the stream moves past all."""
     s = stream_session(spark)
-    keys = lambda: fx.routed_records(s, d).select("stream_name", "shard_no").distinct()
-    return run_and_drain(s, lambda ends: processors.stream_pack(fx.routed(record_stream(s, d)), P.full_rule(CFG), ends), keys, F.lit(CLOSE_AT).cast("timestamp"))
+    return run_and_close(s, lambda ticks: processors.stream_pack(fx.routed(record_stream(s, d)), P.full_rule(CFG), ticks=ticks), CLOCK_END)
 
 
 #: When the registered streams end: after every row of the tables.
 CLOSE_AT = "2100-01-01 00:00:00"
+CLOCK_END = "2100-01-02 00:00:00"
 FLUSH_EVERY = 200
 
 
@@ -62,8 +63,7 @@ def stream_flush(spark, d):
     commands = event_stream(s, d).filter(F.col("event_id") % FLUSH_EVERY == FLUSH_EVERY - 1).select(
         F.col("event_type").alias("stream_name"), F.explode(every).alias("shard_no"), F.col("ts").alias("flush_ts"))
     rule = BatchRule(use_deadline=False)
-    keys = lambda: fx.routed_records(s, d).select("stream_name", "shard_no").distinct()
-    out = run_and_drain(s, lambda ends: processors.stream_pack(fx.routed(record_stream(s, d)), rule, commands.unionByName(ends)), keys, F.lit(CLOSE_AT).cast("timestamp"))
+    out = run_and_close(s, lambda ticks: processors.stream_pack(fx.routed(record_stream(s, d)), rule, commands, ticks), CLOCK_END)
     return out.select("stream_name", "shard_no", F.col("id").alias("source_id"), "flush_us")
 
 
@@ -76,35 +76,32 @@ def stream_rate_limit(spark, d):
     return out.withColumn("send_s", F.round("send_s", 3))
 
 
-def sample_stream(s, d):
-    return fx.samples_from_events(event_stream(s, d)).withWatermark("ts", "10 seconds")
-
-
-def windowed(samples, window):
-    out = samples.groupBy(window.alias("w"), M.dims_text(F.col("dims")).alias("dims")).agg(*MT.sample_stats(F.col("value")))
-    return run_to_table(out.select("dims", "w.start", "w.end", *MT.STATS))
+def bucket_partials(spark, d, width_s):
+    """Partials of all samples by buckets of width_s seconds; several partials of one bucket merge."""
+    s = stream_session(spark)
+    return run_and_close(s, lambda ticks: statistics.stream_buckets(
+        fx.samples_from_events(event_stream(s, d)), M.dims_text(F.col("dims")), width_s, ticks=ticks), CLOCK_END)
 
 
 WINDOW_STATS = "count(value) AS count, round(sum(value), 2) AS sum, min(value) AS min, max(value) AS max"
 
 
-@query("stream_metrics_second", f"""
-    SELECT dims, epoch_us(ts) // 1000000 AS second, {WINDOW_STATS} FROM samples_dims
-    WHERE (epoch_us(ts) // 1000000 + 1) * 1000000 <= (SELECT epoch_ms(max(ts)) * 1000 - 10000000 FROM samples_dims) GROUP BY 1, 2""")
+@query("stream_metrics_second", f"SELECT dims, epoch_us(ts) // 1000000 AS second, {WINDOW_STATS} FROM samples_dims GROUP BY 1, 2")
 def stream_metrics_second(spark, d):
-    """One-second statistics of closed windows."""
-    out = windowed(sample_stream(stream_session(spark), d), F.window("ts", "1 second"))
-    return out.select("dims", F.floor(US("start") / 1_000_000).cast("bigint").alias("second"), "count", F.round("sum", 2).alias("sum"), "min", "max")
+    """One-second statistics; late samples arrive as corrections of their second."""
+    out = bucket_partials(spark, d, 1).groupBy("dims", F.col("bucket").alias("second")).agg(*MT.merge_stats())
+    return out.withColumn("sum", F.round("sum", 2))
 
 
 @query("stream_metrics_minute", f"""
     SELECT dims, start_s, {WINDOW_STATS} FROM (
-      SELECT *, unnest([epoch_us(ts) // 30000000 * 30 - 30, epoch_us(ts) // 30000000 * 30]) AS start_s FROM samples_dims)
-    WHERE (start_s + 60) * 1000000 <= (SELECT epoch_ms(max(ts)) * 1000 - 10000000 FROM samples_dims) GROUP BY 1, 2""")
+      SELECT *, unnest([epoch_us(ts) // 30000000 * 30 - 30, epoch_us(ts) // 30000000 * 30]) AS start_s FROM samples_dims) GROUP BY 1, 2""")
 def stream_metrics_minute(spark, d):
-    """Sixty-second statistics every thirty seconds."""
-    out = windowed(sample_stream(stream_session(spark), d), F.window("ts", "60 seconds", "30 seconds"))
-    return out.select("dims", F.floor(US("start") / 1_000_000).cast("bigint").alias("start_s"), "count", F.round("sum", 2).alias("sum"), "min", "max")
+    """Sixty-second statistics every thirty seconds, each from two half-minute buckets."""
+    halves = bucket_partials(spark, d, 30)
+    starts = F.explode(F.array((F.col("bucket") - 1) * 30, F.col("bucket") * 30))
+    out = halves.withColumn("start_s", starts).groupBy("dims", "start_s").agg(*MT.merge_stats())
+    return out.withColumn("sum", F.round("sum", 2))
 
 
 RESULT_TTL_MS = 500
@@ -113,25 +110,20 @@ RESULT_TTL_MS = 500
 @query("stream_results_join", f"""
     SELECT u.source_id, CASE WHEN r.source_id IS NULL THEN 'Expired' WHEN r.success THEN 'delivered' ELSE 'failed' END AS outcome
     FROM user_records u LEFT JOIN results r ON r.source_id = u.source_id AND r.finished_ts BETWEEN u.arrival_ts AND u.arrival_ts + INTERVAL {RESULT_TTL_MS} MILLISECOND
-    WHERE r.source_id IS NOT NULL OR u.arrival_ts < (SELECT max(arrival_ts) FROM user_records) - INTERVAL 60500 MILLISECOND""")
+    UNION ALL SELECT source_id, 'orphan' FROM results r WHERE NOT EXISTS (SELECT 1 FROM user_records u WHERE u.source_id = r.source_id)""")
 def stream_results_join(spark, d):
-    """Records joined to their results as both arrive; no result within the time limit means expired."""
+    """Records and their results as both arrive; no result within the time limit means expired."""
     s = stream_session(spark)
-    puts = record_stream(s, d).select("source_id", "arrival_ts").withWatermark("arrival_ts", "1 minute")
-    done = fx.results_from_events(event_stream(s, d)).select(
-        F.col("source_id").alias("result_id"), "success", "finished_ts").withWatermark("finished_ts", "1 minute")
-    within = (F.col("source_id") == F.col("result_id")) & (F.col("finished_ts") >= F.col("arrival_ts")) & (
-        F.col("finished_ts") <= F.col("arrival_ts") + F.expr(f"INTERVAL {RESULT_TTL_MS} MILLISECONDS"))
-    outcome = F.when(F.col("result_id").isNull(), "Expired").when(F.col("success"), "delivered").otherwise("failed")
-    return run_to_table(puts.join(done, within, "left").select("source_id", outcome.alias("outcome")))
+    out = run_and_close(s, lambda ticks: outcomes.stream_outcomes(
+        record_stream(s, d), fx.results_from_events(event_stream(s, d)), RESULT_TTL_MS, ticks=ticks), CLOCK_END)
+    return out.select("source_id", "outcome")
 
 
 @query("stream_finish_once", "SELECT DISTINCT source_id FROM results")
 def stream_finish_once(spark, d):
     """Only the first terminal result of a record counts."""
     s = stream_session(spark)
-    done = fx.results_from_events(event_stream(s, d)).withWatermark("finished_ts", "1 hour")
-    return run_to_table(done.dropDuplicatesWithinWatermark(["source_id"]).select("source_id"))
+    return run_to_table(outcomes.finish_once(fx.results_from_events(event_stream(s, d)), CFG.record_ttl_ms), idle=False).select("source_id")
 
 
 @query("stream_shard_refresh", """

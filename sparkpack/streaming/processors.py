@@ -1,8 +1,9 @@
-"""Stateful processors: packing with flush commands, and rate limiting."""
+"""Stateful processors: packing with deadlines that fire by the event clock and flush commands, and rate limiting."""
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,18 +11,23 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sparkpack.operators.fold import NEVER, BatchRule, Stretch
 from sparkpack.operators.shaping import EPOCH_S, LOW, Bucket
+from sparkpack.streaming.clock import event_clock
 
-_ROW = ["id", "size", "arrival_us", "deadline_us", "flag", "pk", "ehk", "burst_key"]
-_BUFFER = "id long, size long, arrival_us long, deadline_us long, flag boolean, pk string, ehk string, burst_key long"
-PACKED = "stream_name string, shard_no long, id long, batch_rn long, pos long, flush_us long, reason string"
+_ROW = ["id", "size", "arrival_us", "deadline_us", "flag", "pk", "ehk", "burst_key", "late"]
+_BUFFER = "id long, size long, arrival_us long, deadline_us long, flag boolean, pk string, ehk string, burst_key long, late boolean"
+PACKED = "stream_name string, shard_no long, id long, batch_rn long, pos long, flush_us long, reason string, late boolean"
+
+#: When a stream's clock is moved to its end: 2100-01-01. Buffers without deadlines leave then.
+END_US = 4_102_444_800_000_000
 
 
 class PackProcessor(StatefulProcessor):
-    """Buffers records per key. Rows of a micro-batch are ordered here and deadlines are replayed between them, so time is
-    what the rows say and no row is ever too late for the state. Flush rows empty the buffer.
+    """Buffers records per key. Rows of a micro-batch are ordered here and deadlines are replayed between them; a timer at the
+    earliest deadline that waits flushes a key that falls silent. Flush rows empty the buffer.
 
-    A row older than rows handled before it arrives now: its arrival becomes the key's newest one and its deadline no
-    earlier than those waiting, so it is flushed after it came and never ahead of the buffer's order.
+    A row behind the event clock or behind rows handled before it arrives now and is marked late: its arrival becomes the
+    newest time its key has seen and its deadline no earlier than those waiting, so it is flushed after it came and never
+    ahead of the buffer's order.
     """
 
     def __init__(self, rule: BatchRule):
@@ -31,6 +37,7 @@ class PackProcessor(StatefulProcessor):
         self.handle = handle
         self.buffer = handle.getListState("buffer", _BUFFER)
         self.first = handle.getValueState("first", "rn long, clock long")
+        self.timer = handle.getValueState("timer", "ms long")
 
     def _load(self) -> tuple[pd.DataFrame, int, int]:
         rows = [tuple(r) for r in self.buffer.get()] if self.buffer.exists() else []
@@ -38,15 +45,26 @@ class PackProcessor(StatefulProcessor):
         return pd.DataFrame(rows, columns=_ROW), rn, clock
 
     def _store(self, rest: pd.DataFrame, rn: int, clock: int) -> None:
+        wanted = None
         if len(rest):
             plain = rest[_ROW].astype(object).where(rest[_ROW].notna(), None)
             self.buffer.put([tuple(r) for r in plain.itertuples(index=False, name=None)])
+            wanted = (int(rest["deadline_us"].iloc[0]) if self.rule.use_deadline else END_US) // 1000 + 1
         else:
             self.buffer.clear()
         self.first.update((rn, clock))
-
-    def _flush(self, key, rows: pd.DataFrame, buffered: int, rn: int, until: int, forced: tuple[int, ...] = ()) -> tuple[pd.DataFrame, pd.DataFrame, int]:
-        """Flushes of ordered rows of which the first `buffered` were there before; `forced` are (position, time) commands."""
+        have = self.timer.get()[0] if self.timer.exists() else None
+        if have != wanted:
+            if have is not None:
+                self.handle.deleteTimer(have)
+                self.timer.clear()
+            if wanted is not None:
+                self.handle.registerTimer(wanted)
+                self.timer.update((wanted,))
+
+    def _flush(self, key, rows: pd.DataFrame, buffered: int, rn: int, until: int, forced: tuple[tuple[int, int], ...] = ()) -> tuple[pd.DataFrame, pd.DataFrame, int]:
+        """Flushes of ordered rows of which the first `buffered` were there before, and timers before `until`; `forced` are
+        (position, time) commands."""
         st, s, j, flushes = Stretch(rows, self.rule), 0, buffered, []
         for at, when in forced:
             s = st.run(s, j, at, -NEVER, None, flushes)
@@ -58,52 +76,75 @@ class PackProcessor(StatefulProcessor):
                 flushes.append((s, e, when, "flush"))
                 s = e
         s = st.run(s, j, st.n, until, None, flushes)
-        ids = rows["id"].tolist()
-        out = [(*key, int(ids[i]), rn + b, i - b, when, reason) for b, e, when, reason in flushes for i in range(b, e)]
-        return pd.DataFrame(out, columns=[c.split()[0] for c in PACKED.split(", ")]), rows.iloc[s:], rn + s
+        lengths = [e - b for b, e, _, _ in flushes]
+        out = rows.loc[rows.index[: sum(lengths)], ["id", "late"]].reset_index(drop=True)
+        begin = np.repeat(np.array([b for b, _, _, _ in flushes], np.int64), lengths)
+        out["stream_name"], out["shard_no"], out["batch_rn"], out["pos"] = key[0], key[1], rn + begin, np.arange(len(out)) - begin
+        out["flush_us"] = np.repeat(np.array([w for _, _, w, _ in flushes], np.int64), lengths)
+        out["reason"] = np.repeat(np.array([r for _, _, _, r in flushes], object), lengths)
+        return out[[c.split()[0] for c in PACKED.split(", ")]], rows.iloc[s:], rn + s
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True)
         waiting, rn, clock = self._load()
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        clock = max(clock, now) if now > 0 else clock
         puts = new[new["kind"] == "put"].copy()
-        if clock > -NEVER:
-            late = puts["arrival_us"] < clock
+        puts["late"] = puts["arrival_us"] < clock
+        if puts["late"].any():
             floor = int(waiting["deadline_us"].max()) if len(waiting) else clock
-            puts.loc[late, "deadline_us"] = puts.loc[late, "deadline_us"].clip(lower=max(floor, clock))
-            puts.loc[late, "arrival_us"] = clock
+            puts.loc[puts["late"], "deadline_us"] = puts.loc[puts["late"], "deadline_us"].clip(lower=max(floor, clock))
+            puts.loc[puts["late"], "arrival_us"] = clock
         puts = puts.sort_values(["deadline_us", "arrival_us", "id"])
         commands = sorted(max(clock, c) for c in new.loc[new["kind"] == "flush", "arrival_us"])
         clock = max([clock, *(int(x) for x in (puts["arrival_us"].max(),) if len(puts)), *commands])
         merged = pd.concat([waiting, puts[_ROW]], ignore_index=True) if len(waiting) else puts[_ROW].reset_index(drop=True)
         arrived = merged["arrival_us"].to_numpy()
         forced = tuple((max(len(waiting), int((arrived <= c).sum())), int(c)) for c in commands)
-        out, rest, rn = self._flush(key, merged, len(waiting), rn, -NEVER, forced)
+        out, rest, rn = self._flush(key, merged, len(waiting), rn, now if now > 0 else -NEVER, forced)
         self._store(rest, rn, int(clock))
         yield out
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """The earliest deadline has passed and nothing came."""
+        self.timer.clear()
+        waiting, rn, clock = self._load()
+        until = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
+        forced = () if self.rule.use_deadline else ((len(waiting), END_US),)
+        out, rest, rn = self._flush(key, waiting, len(waiting), rn, until, forced)
+        self._store(rest, rn, clock)
+        yield out
+
     def close(self) -> None:
         pass
 
 
-def stream_pack(records: DataFrame, rule: BatchRule, flushes: DataFrame | None = None) -> DataFrame:
-    """Batches of a stream of routed records with times; `flushes` has stream_name, shard_no, flush_ts.
+def stream_pack(records: DataFrame, rule: BatchRule, flushes: DataFrame | None = None, ticks: DataFrame | None = None,
+                lateness: str = "0 seconds") -> DataFrame:
+    """Batches of a stream of routed records with times; `flushes` has stream_name, shard_no, flush_ts, `ticks` has ts.
 
-    There is no watermark: Spark drops rows behind one before the state sees them. Records wait for later rows of
-    their key or for a flush row; `runner.run_and_drain` ends a stream with flush rows for every key.
+    The event clock follows the arrivals of all keys, `lateness` behind; a key without new rows flushes when it passes its
+    earliest deadline. No row is dropped for being late. `runner.run_and_close` ends a stream by moving the clock past every
+    deadline.
     """
-    puts = records.select(
-        "stream_name", "shard_no", F.lit("put").alias("kind"), F.col("source_id").alias("id"),
-        F.octet_length("data").cast("bigint").alias("size"), F.unix_micros("arrival_ts").alias("arrival_us"),
+    at = F.col("arrival_ts")
+    rows = records.select(
+        "stream_name", "shard_no", F.lit("put").alias("kind"), at.alias("ts"), F.col("source_id").alias("id"),
+        F.octet_length("data").cast("bigint").alias("size"), F.unix_micros(at).alias("arrival_us"),
         F.unix_micros("deadline_ts").alias("deadline_us"), F.lit(False).alias("flag"),
         F.col("partition_key").alias("pk"), F.col("explicit_hash_key").alias("ehk"), F.lit(-1).cast("bigint").alias("burst_key"))
-    rows = puts
     if flushes is not None:
-        at = F.unix_micros("flush_ts")
-        rows = puts.unionByName(flushes.select(
-            "stream_name", "shard_no", F.lit("flush").alias("kind"), F.lit(-1).cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("size"),
-            at.alias("arrival_us"), at.alias("deadline_us"), F.lit(False).alias("flag"), F.lit(None).cast("string").alias("pk"),
-            F.lit(None).cast("string").alias("ehk"), F.lit(-1).cast("bigint").alias("burst_key")))
-    return rows.groupBy("stream_name", "shard_no").transformWithStateInPandas(PackProcessor(rule), PACKED, "Append", "None")
+        micros = F.unix_micros("flush_ts")
+        rows = rows.unionByName(flushes.select(
+            "stream_name", "shard_no", F.lit("flush").alias("kind"), F.col("flush_ts").alias("ts"), micros.alias("arrival_us"),
+            micros.alias("deadline_us")), allowMissingColumns=True)
+    if ticks is not None:
+        rows = rows.unionByName(ticks.select(F.lit("tick").alias("kind"), "ts"), allowMissingColumns=True)
+    # no nulls in numbers: pandas would make them floats
+    whole = {c: F.coalesce(F.col(c), F.lit(-1).cast("bigint")) for c in ("id", "size", "arrival_us", "deadline_us", "burst_key")}
+    rows = rows.withColumns(whole | {"flag": F.coalesce("flag", F.lit(False))})
+    rows = event_clock(rows, F.col("ts"), lateness, F.col("kind") == "tick").drop("ts")
+    return rows.groupBy("stream_name", "shard_no").transformWithStateInPandas(PackProcessor(rule), PACKED, "Append", "EventTime")
 
 
 SHAPED = "stream_name string, shard_no long, source_id long, send_s double, expired boolean"

@@ -4,6 +4,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkpack.operators.stage import new_path
@@ -27,8 +28,11 @@ def table_stream(spark: SparkSession, path: str, schema: T.StructType | None = N
     return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def run_to_table(df: DataFrame) -> DataFrame:
+def run_to_table(df: DataFrame, idle: bool = True) -> DataFrame:
+    """idle: run micro-batches without data, which only timers need. Operators that live by the wall clock would run them
+    for ever, so a run to the end of the input goes without."""
     spark = df.sparkSession
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(idle).lower())
     path, state = new_path(spark, "sink"), new_path(spark, "state")
     q = (df.writeStream.format("parquet").outputMode("append").option("path", path)
          .option("checkpointLocation", state).trigger(availableNow=True).start())
@@ -36,21 +40,21 @@ def run_to_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-FLUSHES = "stream_name string, shard_no long, flush_ts timestamp"
+TICKS = "ts timestamp"
 
 
-def run_and_drain(spark: SparkSession, build: Callable[[DataFrame], DataFrame], keys: Callable[[], DataFrame], close_ts) -> DataFrame:
-    """Run a stream with a control stream of flush rows to the end of its input, then flush every key and run on.
+def run_and_close(spark: SparkSession, build: Callable[[DataFrame], DataFrame], close_ts: str) -> DataFrame:
+    """Run a stream to the end of its input, then move its event clock to close_ts, so that every timer fires.
 
-    build: from the stream of flush rows to the result; keys: stream_name and shard_no of all keys. The second run
-    continues the first one's checkpoint and sees the closing rows only.
+    build: from a stream of ticks (ts), rows that only move the clock, to the result. The second run continues the first
+    one's checkpoint and reads a single tick; which keys still wait is known to the state alone.
     """
     control, path, state = (new_path(spark, kind) for kind in ("control", "sink", "state"))
-    spark.createDataFrame([], FLUSHES).write.parquet(control)
-    df = build(spark.readStream.schema(FLUSHES).parquet(control))
+    spark.createDataFrame([], TICKS).write.parquet(control)
+    df = build(spark.readStream.schema(TICKS).parquet(control))
     for closing in (False, True):
         if closing:
-            keys().select("stream_name", "shard_no", close_ts.alias("flush_ts")).write.mode("append").parquet(control)
+            spark.range(1).select(F.lit(close_ts).cast("timestamp").alias("ts")).write.mode("append").parquet(control)
         q = (df.writeStream.format("parquet").outputMode("append").option("path", path)
              .option("checkpointLocation", state).trigger(availableNow=True).start())
         q.awaitTermination()
