@@ -5,13 +5,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkpack.config import PackConfig
-from sparkpack.operators import batching as B
 from sparkpack.operators import codec as C
 from sparkpack.operators import intake
 from sparkpack.operators import metrics as MT
 from sparkpack.operators import outcomes as O
 from sparkpack.operators import shaping as S
-from sparkpack.operators.fold import BatchRule
 from sparkpack.operators.stage import materialize
 from sparkpack.plans import packing_queries as P
 from sparkpack.plans.registry import query
@@ -38,45 +36,78 @@ def batches_flush_time(joined: DataFrame) -> DataFrame:
     return joined.groupBy(*PACK).agg(F.max("flush_us").alias("flush_us"))
 
 
-def shape(packed: DataFrame, cfg: PackConfig) -> DataFrame:
-    """Packed rows with their send time under the shard's record and byte limits; rows without a shard are not held."""
-    records = S.Bucket(cfg.shard_records_per_sec, cfg.record_rate)
-    octets = S.Bucket(cfg.shard_bytes_per_sec, cfg.byte_rate)
-    order = ["deadline_ts", "arrival_ts", "batch_rn"]
-    limited = S.rate_limit(
-        packed.filter("shard_no <> -1"), [(records, F.lit(1.0)), (octets, F.col("exact_size").cast("double"))],
-        cfg.slice_ms, order=order).select(*packed.columns, "send_s")
-    unlimited = packed.filter("shard_no = -1").withColumn("send_s", S.seconds(F.col("arrival_ts")))
-    sent = limited.unionByName(unlimited)
-    return sent.withColumn("arrival_ts", F.timestamp_micros(((F.col("send_s") + S.EPOCH_S) * 1_000_000).cast("bigint")))
-
-
-def requests(shaped: DataFrame, cfg: PackConfig) -> DataFrame:
-    """Packed rows with the put request they leave in."""
-    items = shaped.withColumns({
-        "item_id": F.concat_ws("/", *PACK),
-        "item_size": (F.octet_length("partition_key") + F.col("exact_size")).cast("bigint")})
-    rule = BatchRule(size_limit=cfg.collection_max_size, count_limit=cfg.collection_max_count, burst_limit=cfg.shard_burst_size)
-    out = B.fold_batches(items, rule, size=F.col("item_size"), keys=["stream_name"],
-                         order=["deadline_ts", "arrival_ts", "shard_no", "batch_rn"],
-                         burst_key=F.col("shard_no"), id_col="item_id", **P.layout(cfg))
-    return items.join(out.select(F.col("id").alias("item_id"), F.col("batch_rn").alias("request_rn"), "reason"), "item_id")
-
-
-# capacities that fit the scaled batches (up to 500 bytes each) over 30 days of event time
-PUT_CONFIG = fx.SCALED.with_(shard_records_per_sec=5.0, shard_bytes_per_sec=2_000.0, rate_limit_percent=1)
-
-
-@query("put_pipeline")
+#: What a shard takes, seconds for a record and for a byte: chosen so that at sf0.01 some batches wait and a few expire.
+RECORD_S, BYTE_S = 34_000, 110
+SHARD_RECORDS, SHARD_BYTES = S.Bucket(5.0, 1 / RECORD_S), S.Bucket(2_000.0, 1 / BYTE_S)
+
+
+def as_items(packed: DataFrame) -> DataFrame:
+    """Packed rows as what travels: named by their first record, with the size the service counts."""
+    return packed.withColumns({
+        "item_id": F.element_at("source_ids", 1),
+        "item_size": (F.octet_length("partition_key") + F.col("exact_size")).cast("bigint")}).drop("data", "source_ids")
+
+
+def shape(items: DataFrame, cfg: PackConfig, per_record: S.Bucket | None = None, per_byte: S.Bucket | None = None) -> DataFrame:
+    """Items with `expired`, and for the others their send time as arrival_ts, under the shard's record and byte limits; what
+    still waits when it expires leaves the queue then. Items without a shard are not held."""
+    per_record = per_record or S.Bucket(cfg.shard_records_per_sec, cfg.record_rate)
+    per_byte = per_byte or S.Bucket(cfg.shard_bytes_per_sec, cfg.byte_rate)
+    held = items.filter("shard_no <> -1").withColumnRenamed("item_id", "source_id")
+    limited = S.rate_limit_expired(held, per_record, per_byte, F.col("exact_size"), cfg.slice_ms)
+    sent = held.join(limited, "source_id").withColumnRenamed("source_id", "item_id")
+    sent = sent.withColumn("arrival_ts", F.when(~F.col("expired"), F.timestamp_micros(F.round((F.col("send_s") + S.EPOCH_S) * 1_000_000).cast("bigint"))))
+    free = items.filter("shard_no = -1").withColumn("expired", F.col("expiration_ts") < F.col("arrival_ts"))
+    free = free.withColumn("arrival_ts", F.when(~F.col("expired"), F.col("arrival_ts")))
+    return sent.drop("send_s").unionByName(free)
+
+
+PUT_CONFIG = fx.SCALED.with_(
+    record_max_buffered_ms=96 * fx.HOUR, record_ttl_ms=120 * fx.HOUR, aggregation_max_count=10, shard_burst_size=2_500)
+
+
+@query("put_pipeline", P.full_sql("false", """,
+    packed_batches AS (
+      SELECT f.stream_name, f.shard_no, f.batch_rn, any_value(f.flush_us) AS arr, min(r.due) AS due, min(r.expire) AS expire, count(*) AS n,
+             arg_min(f.source_id, f.pos) AS id, arg_min(strlen(r.partition_key), f.pos) AS first_key
+      FROM fold f JOIN put_times r ON r.source_id = f.source_id GROUP BY 1, 2, 3),
+    travelling AS (
+      SELECT b.*, s.exact::BIGINT AS exact, (s.exact + CASE WHEN b.n = 1 THEN first_key ELSE 1 END)::BIGINT AS size,
+             (b.arr - {EPOCH}000000) / 1000000.0::DOUBLE AS at_s, (b.expire - {EPOCH}000000) / 1000000.0::DOUBLE AS expire_s,
+             row_number() OVER (PARTITION BY b.stream_name, b.shard_no ORDER BY b.due, b.arr, b.id) AS q
+      FROM packed_batches b JOIN spans s ON s.stream_name = b.stream_name AND s.shard_no = b.shard_no AND s.s = b.batch_rn AND s.t = b.batch_rn + b.n - 1),
+    queue AS (
+      SELECT stream_name, shard_no, 0::BIGINT AS q, 0::BIGINT AS id, 0::DOUBLE AS send, false AS late, -1e18::DOUBLE AS hold, -1e18::DOUBLE AS t1, -1e18::DOUBLE AS t2
+      FROM travelling WHERE q = 1
+      UNION ALL
+      SELECT stream_name, shard_no, q, id, moment, gone, CASE WHEN gone THEN greatest(hold, expire_s) ELSE hold END,
+             CASE WHEN gone THEN t1 ELSE greatest(t1, moment) + {RECORD_S} END, CASE WHEN gone THEN t2 ELSE greatest(t2, moment) + exact * {BYTE_S} END
+      FROM (SELECT *, moment > expire_s OR exact > 2000 AS gone
+            FROM (SELECT i.*, w.hold, w.t1, w.t2, greatest(i.at_s, w.hold, w.t1 + {RECORD_S} - 5 * {RECORD_S}, w.t2 + i.exact * {BYTE_S} - 2000 * {BYTE_S}) AS moment
+                  FROM queue w JOIN travelling i ON i.stream_name = w.stream_name AND i.shard_no = w.shard_no AND i.q = w.q + 1))),
+    sent AS (
+      SELECT i.stream_name, i.shard_no, i.id, i.n, i.size, round((w.send + {EPOCH}) * 1000000)::BIGINT AS arr, i.due, i.shard_no AS burst, i.exact AS burst_size, w.late
+      FROM travelling i JOIN queue w ON w.stream_name = i.stream_name AND w.shard_no = i.shard_no AND w.q = i.q),
+    on_time AS (SELECT * EXCLUDE (late) FROM sent WHERE NOT late),""".replace(
+        "{EPOCH}", str(S.EPOCH_S)).replace("{RECORD_S}", str(RECORD_S)).replace("{BYTE_S}", str(BYTE_S)) + P.arrivals_sql("on_time", "stream_name", P.burst_rule(PUT_CONFIG)) + """
+    SELECT f.stream_name, f.batch_id AS request_id, any_value(f.reason) AS outcome, count(*) AS entries, sum(s.n)::BIGINT AS records, sum(s.size)::BIGINT AS bytes,
+           min(s.arr) AS first_send_us, max(s.arr) AS last_send_us, any_value(f.flush_us) AS flush_us
+    FROM (SELECT stream_name, batch_id, flush_us, reason, unnest(gone).id AS id FROM flushes) f JOIN sent s ON s.id = f.id GROUP BY 1, 2
+    UNION ALL SELECT stream_name, id, 'Expired', 1, n::BIGINT, size, NULL, NULL, NULL FROM sent WHERE late""", PUT_CONFIG, "put_records"))
 def put_pipeline(spark, d):
-    """Validate, key, route, pack, shape and collect; one row per put request."""
+    """Validate, key, route, pack, shape and collect: one row per put request, and one per packed record that expired in the queue."""
     cfg = PUT_CONFIG
     records = materialize(fx.routed(intake.valid_records(fx.dirty_records(spark, d)), cfg))
-    packed = materialize(pack(records, cfg))
-    shaped = shape(packed.drop("data", "source_ids"), cfg)
-    return requests(shaped, cfg).groupBy("stream_name", "request_rn").agg(
-        F.count(F.lit(1)).alias("entries"), F.sum("n_records").alias("records"), F.sum("item_size").alias("bytes"),
-        US(F.min("arrival_ts")).alias("first_send_us"), US(F.max("arrival_ts")).alias("last_send_us"))
+    items = materialize(as_items(pack(records, cfg)))
+    shaped = materialize(shape(items, cfg, SHARD_RECORDS, SHARD_BYTES))
+    requests = P.collect_arriving(shaped.filter("NOT expired"), cfg).groupBy("stream_name", "request_id").agg(
+        F.first("reason").alias("outcome"), F.count(F.lit(1)).alias("entries"), F.sum("n_records").alias("records"), F.sum("item_size").alias("bytes"),
+        US(F.min("arrival_ts")).alias("first_send_us"), US(F.max("arrival_ts")).alias("last_send_us"), F.first("flush_us").alias("flush_us"))
+    never = F.lit(None).cast("bigint")
+    lost = shaped.filter("expired").select(
+        "stream_name", F.col("item_id").alias("request_id"), F.lit(O.EXPIRED[0]).alias("outcome"), F.lit(1).cast("bigint").alias("entries"),
+        F.col("n_records").alias("records"), F.col("item_size").alias("bytes"), never.alias("first_send_us"), never.alias("last_send_us"), never.alias("flush_us"))
+    return requests.unionByName(lost)
 
 
 @query("round_trip", """

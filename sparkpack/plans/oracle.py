@@ -69,6 +69,12 @@ VIEWS: dict[str, str] = {
                             THEN 'explicit key out of range'
                        WHEN strlen(data) > 1048576 THEN 'data too large' END AS reject_reason
         FROM dirty_records""",
+    "put_records": f"""
+        SELECT *, {shard_case('hash_key')} AS shard_no, arrival_ts + INTERVAL 96 HOUR AS deadline_ts, arrival_ts + INTERVAL 120 HOUR AS expiration_ts
+        FROM (SELECT *, CASE WHEN explicit_hash_key IS NOT NULL THEN lpad(explicit_hash_key, 39, '0')
+                             ELSE lpad(md5_number(partition_key)::VARCHAR, 39, '0') END AS hash_key FROM validated WHERE reject_reason IS NULL)""",
+    "put_times": """
+        SELECT source_id, partition_key, epoch_us(deadline_ts) AS due, epoch_us(expiration_ts) AS expire FROM put_records""",
     "stream_shards": """
         SELECT DISTINCT event_type AS stream_name, user_id // 10 AS page_no, user_id + 1 AS shard_no,
                lpad(md5_number(user_id::VARCHAR)::VARCHAR, 39, '0') AS end_key, user_id % 7 = 0 AS closed

@@ -8,7 +8,8 @@ from sparkpack.config import PackConfig
 from sparkpack.operators import batching as B
 from sparkpack.operators import codec as C
 from sparkpack.operators import shaping as S
-from sparkpack.operators.fold import BatchRule
+from sparkpack.operators.arrivals import fold_arrivals
+from sparkpack.operators.fold import NEVER, BatchRule
 from sparkpack.operators.stage import materialize
 from sparkpack.plans.oracle import varlen
 from sparkpack.plans.registry import query
@@ -162,6 +163,39 @@ def full_sql(flag: str, body: str, cfg: PackConfig = CFG, records: str = "routed
     {body}"""
 
 
+def arrivals_sql(source: str, key: str, rule: BatchRule) -> str:
+    """Buffers filled by arrival and flushed by deadline, event by event: `flushes` has one row per flush with what leaves (gone) and
+    what stays (buf). source: key, id, size, arr, due, burst, burst_size. Plain sizes only."""
+    item = "{'due': due, 'arr': arr, 'id': id, 'size': size, 'burst': burst, 'burst_size': burst_size}"
+    same = " AND ".join(f"x.{k.strip()} = w.{k.strip()}" for k in key.split(","))
+    own = ", ".join(f"w.{k.strip()}" for k in key.split(","))
+    limit = f"{rule.size_limit} - {rule.margin}" if rule.size_limit != NEVER else str(NEVER)
+
+    def total(rows: str) -> str:
+        return f"list_sum(list_transform({rows}, lambda r: r.size))"
+    return f"""
+    arriving AS MATERIALIZED (
+      SELECT *, {item} AS item, row_number() OVER (PARTITION BY {key} ORDER BY arr, id) AS rn FROM {source}),
+    steps_of AS (
+      SELECT {key}, 1::BIGINT AS j, 0::BIGINT AS clock, [item][:0] AS buf, [item][:0] AS gone, NULL::VARCHAR AS why FROM arriving WHERE rn = 1
+      UNION ALL
+      SELECT {key}, following, moment, CASE WHEN reason IS NULL THEN cand ELSE cand[n + 1:] END, CASE WHEN reason IS NULL THEN [] ELSE cand[:n] END, reason
+      FROM (
+        SELECT *, greatest(1, len(list_filter(range(1, least(len(cand), {rule.count_limit}) + 1), lambda i: {total('cand[1:i]')} <= {limit}))) AS n
+        FROM (
+          SELECT *, CASE WHEN timer THEN 'deadline' WHEN len(cand) >= {rule.count_limit} THEN 'count' WHEN {total('cand')} >= {limit} THEN 'size'
+                         WHEN burst <> -1 AND list_sum(list_transform(cand, lambda r: CASE WHEN r.burst = burst THEN r.burst_size ELSE 0 END)) >= {rule.burst_limit}
+                           THEN 'burst' END AS reason
+          FROM (
+            SELECT {own}, x.item.burst AS burst, timer, CASE WHEN timer THEN w.j ELSE w.j + 1 END AS following,
+                   CASE WHEN timer THEN greatest(w.clock, w.buf[1].due) ELSE x.arr END AS moment,
+                   CASE WHEN timer THEN w.buf ELSE list_sort(list_append(w.buf, x.item)) END AS cand
+            FROM steps_of w LEFT JOIN arriving x ON {same} AND x.rn = w.j,
+                 LATERAL (SELECT len(w.buf) > 0 AND (x.rn IS NULL OR w.buf[1].due < x.arr) AS timer)
+            WHERE x.rn IS NOT NULL OR len(w.buf) > 0)))),
+    flushes AS (SELECT {key}, clock AS flush_us, why AS reason, gone[1].id AS batch_id, gone, buf FROM steps_of WHERE why IS NOT NULL)"""
+
+
 @query("batch_full", full_sql("source_id % 101 = 0", "SELECT * FROM fold"))
 def batch_full(spark, d):
     """All triggers together: count, size estimate, a caller's condition, deadline."""
@@ -295,16 +329,27 @@ def as_items(packed_rows: DataFrame) -> DataFrame:
         "item_size": (F.octet_length("partition_key") + F.col("exact_size")).cast("bigint")})
 
 
-def collect(items: DataFrame, cfg: PackConfig = CFG, burst: bool = False) -> DataFrame:
+def collect(items: DataFrame, cfg: PackConfig = CFG) -> DataFrame:
     """Items with the put request they travel in."""
-    rule = BatchRule(size_limit=cfg.collection_max_size, count_limit=cfg.collection_max_count,
-                     **({"burst_limit": cfg.shard_burst_size} if burst else {}))
-    out = B.fold_batches(items, rule, size=F.col("item_size"), keys=["stream_name"], order=REQUEST_ORDER,
-                         burst_key=F.col("shard_no"), id_col="item_id", **layout(cfg))
+    rule = BatchRule(size_limit=cfg.collection_max_size, count_limit=cfg.collection_max_count)
+    out = B.fold_batches(items, rule, size=F.col("item_size"), keys=["stream_name"], order=REQUEST_ORDER, id_col="item_id", **layout(cfg))
     return items.join(out.select(F.col("id").alias("item_id"), F.col("batch_rn").alias("request_rn"),
                                  F.col("pos").alias("entry_no"), F.col("flush_us").alias("request_us"), "reason"), "item_id")
 
 
+def burst_rule(cfg: PackConfig = CFG) -> BatchRule:
+    return BatchRule(size_limit=cfg.collection_max_size, count_limit=cfg.collection_max_count, burst_limit=cfg.shard_burst_size)
+
+
+def collect_arriving(items: DataFrame, cfg: PackConfig = CFG) -> DataFrame:
+    """Items with the put request they travel in: collected as they are sent, the most urgent first, with an extra flush when
+    one shard's packed bytes fill a request. Items have stream_name, shard_no, item_id, item_size, exact_size and their times."""
+    out = fold_arrivals(items, burst_rule(cfg), size=F.col("item_size"), keys=["stream_name"], id_col="item_id", slice_ms=cfg.slice_ms,
+                        burst_key=F.col("shard_no"), burst_size=F.col("exact_size"))
+    return items.join(out.select(F.col("id").alias("item_id"), F.col("batch_id").alias("request_id"),
+                                 F.col("pos").alias("entry_no"), "flush_us", "reason"), "item_id")
+
+
 @query("collect_requests", """
     SELECT p.stream_name, shard_no, batch_no, min(p.rn) OVER (PARTITION BY p.stream_name, request_no) AS request_rn,
            p.rn - min(p.rn) OVER (PARTITION BY p.stream_name, request_no) AS entry_no
@@ -314,10 +359,19 @@ def collect_requests(spark, d):
     return collect(as_items(materialize(packed(spark, d)))).select("stream_name", "shard_no", "batch_no", "request_rn", "entry_no")
 
 
-@query("shard_burst_flush")
+@query("shard_burst_flush", """
+    WITH RECURSIVE sent AS (
+      SELECT stream_name, shard_no, batch_no, stream_name || '/' || shard_no || '/' || batch_no AS id, (key_size + data_size)::BIGINT AS size,
+             epoch_us(arrival_ts) AS arr, epoch_us(arrival_ts + INTERVAL 72 HOUR) AS due, shard_no AS burst, data_size::BIGINT AS burst_size FROM packed_items),"""
+    + arrivals_sql("sent", "stream_name", burst_rule()) + """
+    SELECT s.stream_name, s.shard_no, s.batch_no, f.batch_id AS request_id, f.pos AS entry_no, f.flush_us, f.reason
+    FROM (SELECT stream_name, batch_id, flush_us, reason, unnest(gone).id AS id, unnest(range(len(gone))) AS pos FROM flushes) f
+    JOIN sent s ON s.stream_name = f.stream_name AND s.id = f.id""")
 def shard_burst_flush(spark, d):
-    """The same with an extra flush when one shard fills a request."""
-    return collect(as_items(materialize(packed(spark, d))), burst=True).select("stream_name", "shard_no", "batch_no", "request_rn", "entry_no", "reason")
+    """Requests in send order, with an extra flush when one shard fills a request; a request waits for three days at most."""
+    items = as_items(materialize(packed(spark, d))).withColumn("deadline_ts", F.timestamp_micros(US("arrival_ts") + 72 * fx.HOUR * 1000))
+    return collect_arriving(items).select(
+        "stream_name", "shard_no", "batch_no", "request_id", "entry_no", "flush_us", "reason")
 
 
 @query("request_sizes", """
@@ -459,11 +513,25 @@ def earliest_deadline(spark, d):
     return S.earliest_deadline(fx.routed_records(spark, d), 10).select("stream_name", "shard_no", "source_id", F.col("due_no").cast("bigint").alias("due_no"))
 
 
-@query("unflushed_remainder", """
-    SELECT source_id, stream_name, shard_no FROM count_batches c
-    WHERE NOT EXISTS (SELECT 1 FROM packed p WHERE p.stream_name = c.stream_name AND p.shard_no = c.shard_no AND p.batch_no = c.batch_no AND p.n = 20)""")
+#: Deadlines of four to 24 hours, so a record is often overtaken by later ones.
+def urgent(records: DataFrame) -> DataFrame:
+    return records.withColumn("deadline_ts", F.timestamp_micros(US("arrival_ts") + (F.lit(1) + F.col("source_id") % 6) * (4 * fx.HOUR * 1000)))
+
+
+REMAINDER = BatchRule(size_limit=120, count_limit=12)
+
+
+@query("unflushed_remainder", f"""
+    WITH RECURSIVE mixed AS (
+      SELECT stream_name, shard_no, source_id AS id, strlen(data)::BIGINT AS size, epoch_us(arrival_ts) AS arr,
+             epoch_us(arrival_ts) + (1 + source_id % 6) * {4 * fx.HOUR}000 AS due, -1 AS burst, 0::BIGINT AS burst_size FROM routed),"""
+    + arrivals_sql("mixed", "stream_name, shard_no", REMAINDER) + """,
+    cut AS (SELECT stream_name, shard_no, unnest(buf).id AS id FROM flushes)
+    SELECT f.stream_name, f.shard_no, f.id AS source_id, (SELECT count(*) FROM cut c WHERE c.stream_name = f.stream_name AND c.shard_no = f.shard_no AND c.id = f.id) AS cuts,
+           f.batch_id, f.flush_us, f.reason
+    FROM (SELECT stream_name, shard_no, batch_id, flush_us, reason, unnest(gone).id AS id FROM flushes) f
+    WHERE (f.stream_name, f.shard_no, f.id) IN (SELECT (stream_name, shard_no, id) FROM cut)""")
 def unflushed_remainder(spark, d):
-    """Records not covered by any full batch."""
-    rows = packed(spark, d)
-    flushed = rows.filter(F.col("n_records") == CFG.aggregation_max_count).select(F.explode("source_ids").alias("source_id"))
-    return fx.routed_records(spark, d).join(flushed, "source_id", "left_anti").select("source_id", "stream_name", "shard_no")
+    """Records that a flush left behind because it was full, how often, and the batch that took them at last."""
+    out = fold_arrivals(urgent(fx.routed_records(spark, d)), REMAINDER, size=F.octet_length("data"), keys=["stream_name", "shard_no"], slice_ms=CFG.slice_ms)
+    return out.filter("cuts > 0").select("stream_name", "shard_no", F.col("id").alias("source_id"), "cuts", "batch_id", "flush_us", "reason")

@@ -90,3 +90,40 @@ def shaped(records, b1, b2, expire):
             t1, t2 = max(t1, send) + c1, max(t2, send) + c2
             out[r["id"]] = (send, False)
     return out
+
+
+def arrival_batches(records, rule):
+    """[(ids in order, flush time, reason)] and {id: flushes that left it behind}, for records that arrive in order and leave by deadline."""
+    out, buffer, cuts, clock = [], [], {}, None
+
+    def flush(when, reason):
+        buffer.sort(key=lambda r: (r["deadline"], r["arrival"], r["id"]))
+        n = len(buffer)
+        while n > 1 and (n > rule.count_limit or exact(buffer[:n], rule.packed) + rule.margin > rule.size_limit):
+            n -= 1
+        out.append(([r["id"] for r in buffer[:n]], when, reason))
+        del buffer[:n]
+        for r in buffer:
+            cuts[r["id"]] = cuts.get(r["id"], 0) + 1
+
+    def timers(until):
+        nonlocal clock
+        while buffer and (until is None or min(r["deadline"] for r in buffer) < until):
+            clock = max(clock, min(r["deadline"] for r in buffer))
+            flush(clock, "deadline")
+
+    for r in sorted(records, key=lambda r: (r["arrival"], r["id"])):
+        timers(r["arrival"])
+        clock = r["arrival"]
+        buffer.append(r)
+        same = sum(x["size"] for x in buffer if x["burst"] == r["burst"]) if r["burst"] != -1 else 0
+        if len(buffer) >= rule.count_limit:
+            flush(clock, "count")
+        elif estimate(buffer, rule.packed) + rule.margin >= rule.size_limit:
+            flush(clock, "size")
+        elif r["flag"]:
+            flush(clock, "flag")
+        elif same >= rule.burst_limit:
+            flush(clock, "burst")
+    timers(None)
+    return out, cuts
