@@ -74,15 +74,23 @@ def map_invalidations(wrong: DataFrame) -> DataFrame:
 
 
 def retry_set(outcomes: DataFrame, cfg: PackConfig, now: Column) -> DataFrame:
-    """Retried records with their new deadline; those past their expiration fail instead.
+    """Retried records with their new deadline and the attempts of this round; those past their expiration fail instead.
 
-    cause_code and cause_message keep the error of the attempt that led here, also where the record fails as expired.
+    attempts holds the error that led here and, where the record has expired, the expiry as a second one. cause_code and
+    cause_message repeat the former.
     """
     expired = F.col("expiration_ts") < now
     due = F.least(plus_ms(now, cfg.record_max_buffered_ms // 2), F.col("expiration_ts"))
+    start = F.col("start_ts") if "start_ts" in outcomes.columns else now
+
+    def attempt(begin: Column, code: Column, message: Column) -> Column:
+        return F.struct(begin.alias("start_ts"), now.alias("end_ts"), code.alias("error_code"), message.alias("error_message"))
+    tried = F.array(attempt(start, F.col("code"), F.col("message")))
+    gone = F.array(attempt(now, F.lit(EXPIRED[0]), F.lit(EXPIRED[1])))
     return outcomes.filter(F.col("outcome") == "retry").select(
-        *[c for c in outcomes.columns if c not in ("outcome", "code", "message", "cause_code", "cause_message")],
+        *[c for c in outcomes.columns if c not in ("outcome", "code", "message", "cause_code", "cause_message", "attempts")],
         F.col("code").alias("cause_code"), F.col("message").alias("cause_message"),
+        F.when(expired, F.concat(tried, gone)).otherwise(tried).alias("attempts"),
         F.when(expired, "fail").otherwise("retry").alias("outcome"),
         F.when(expired, EXPIRED[0]).otherwise(F.col("code")).alias("code"),
         F.when(expired, EXPIRED[1]).otherwise(F.col("message")).alias("message"),

@@ -9,7 +9,9 @@ from sparkpack.operators import codec as C
 from sparkpack.operators import intake
 from sparkpack.operators import metrics as MT
 from sparkpack.operators import outcomes as O
+from sparkpack.operators import rounds as R
 from sparkpack.operators import shaping as S
+from sparkpack.operators.fold import BatchRule
 from sparkpack.operators.stage import materialize
 from sparkpack.plans import packing_queries as P
 from sparkpack.plans.registry import query
@@ -129,6 +131,56 @@ def round_trip(spark, d):
         F.count_if(F.col("_out").isNull()).alias("missing"), F.count_if(F.col("_in").isNull()).alias("unexpected"))
 
 
+ROUND_CONFIG = fx.SCALED.with_(record_ttl_ms=12 * fx.HOUR)
+ROUND_RULE = BatchRule(size_limit=200, count_limit=12)
+#: Rounds the SQL spells out; no record of the tables is still pending after them.
+SQL_ROUNDS = 14
+
+
+def scripted(batches: DataFrame, number: int) -> DataFrame:
+    """A service that answers by batch and round: of eight batches two meet an error that passes, one goes to the wrong shard, one
+    meets an error that stays."""
+    k = (F.col("batch_id") + 7 * number) % 8
+    code = F.when(k == 0, fx.THROTTLED).when(k == 1, "InternalFailure").when(k == 3, "xx")
+    return R.answer_by_code(batches, code, F.concat(F.lit("batch "), F.col("batch_id").cast("string")), k == 2, F.lit(10) + F.col("batch_id") % 90, ROUND_CONFIG)
+
+
+def _rounds_sql() -> str:
+    h = 3_600_000_000
+    parts = [f"""
+    WITH pending_1 AS (
+      SELECT stream_name, shard_no, source_id AS id, strlen(data)::BIGINT AS size, epoch_us(arrival_ts) AS arr, epoch_us(arrival_ts) + {6 * h} AS due,
+             epoch_us(arrival_ts) + {12 * h} AS expire, 0::BIGINT AS tries, -1 AS burst, 0::BIGINT AS burst_size FROM routed)"""]
+    for r in range(1, SQL_ROUNDS + 1):
+        parts.append(f""",
+    tried_{r} AS MATERIALIZED (
+      SELECT p.*, f.flush_us AS start_us, f.flush_us + (10 + f.batch_id % 90) * 1000 AS end_us, (f.batch_id + {7 * r}) % 8 AS k
+      FROM (WITH RECURSIVE {P.arrivals_sql(f'pending_{r}', 'stream_name, shard_no', ROUND_RULE)}
+            SELECT batch_id, flush_us, unnest(gone).id AS id FROM flushes) f JOIN pending_{r} p ON p.id = f.id),
+    pending_{r + 1} AS (
+      SELECT stream_name, shard_no, id, size, end_us AS arr, least(end_us + {3 * h}, expire) AS due, expire, tries + 1 AS tries, burst, burst_size
+      FROM tried_{r} WHERE k < 3 AND expire >= end_us)""")
+    every = " UNION ALL ".join(f"SELECT {r}::BIGINT AS round, * FROM tried_{r}" for r in range(1, SQL_ROUNDS + 1))
+    return "".join(parts) + f""",
+    tried AS ({every}),
+    tries_of AS (
+      SELECT id, round, 2 * tries AS no, end_us, CASE k WHEN 0 THEN '{fx.THROTTLED}' WHEN 1 THEN 'InternalFailure' WHEN 2 THEN '{O.WRONG_SHARD[0]}' WHEN 3 THEN 'xx' ELSE 'ok' END AS code FROM tried
+      UNION ALL SELECT id, round, 2 * tries + 1, end_us, '{O.EXPIRED[0]}' FROM tried WHERE k < 3 AND expire < end_us)
+    SELECT id AS source_id, string_agg(code, '|' ORDER BY no) AS history, count(*) AS n_attempts, max(round) AS rounds, max(end_us) AS end_us,
+           CASE arg_max(code, no) WHEN 'ok' THEN 'delivered' WHEN '{O.EXPIRED[0]}' THEN 'expired' ELSE 'failed' END AS state
+    FROM tries_of GROUP BY 1"""
+
+
+@query("delivery_rounds", _rounds_sql())
+def delivery_rounds(spark, d):
+    """Pack, send, and pack again what came back, until every record is delivered, failed or expired; one row per record."""
+    attempts, _ = R.deliver(fx.routed(fx.user_records(spark, d), ROUND_CONFIG), scripted, ROUND_CONFIG, ROUND_RULE)
+    out, last = R.final_states(attempts), F.element_at("attempts", -1)
+    return out.select(
+        "source_id", F.array_join(F.transform("attempts", lambda a: F.when(a["success"], "ok").otherwise(a["error_code"])), "|").alias("history"),
+        F.size("attempts").cast("bigint").alias("n_attempts"), last["round"].alias("rounds"), US(last["end_ts"]).alias("end_us"), "state")
+
+
 @query("delivery_report", """
     SELECT stream_name, shard_no, count(*) AS received, count(*) FILTER (done) AS delivered, count(*) FILTER (NOT done) AS failed,
            count(*) FILTER (NOT done AND last_code = 'Expired') AS expired, sum(tries - 1)::BIGINT AS retries,

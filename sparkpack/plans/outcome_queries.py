@@ -99,13 +99,14 @@ def append_attempt(spark, d):
     SELECT source_id, CASE WHEN expiration_ts < end_ts THEN 'fail' ELSE 'retry' END AS outcome,
            CASE WHEN expiration_ts < end_ts THEN 'Expired' ELSE code END AS code,
            CASE WHEN expiration_ts < end_ts THEN 'Record has reached expiration' ELSE message END AS message,
-           code AS cause_code, message AS cause_message,
+           code AS cause_code, message AS cause_message, code || CASE WHEN expiration_ts < end_ts THEN '|Expired' ELSE '' END AS history,
            CASE WHEN expiration_ts >= end_ts THEN epoch_us(least(end_ts + INTERVAL 3 HOUR, expiration_ts)) END AS deadline_us
     FROM record_outcomes WHERE outcome = 'retry'""")
 def retry_set(spark, d):
     """Records to send again with their new deadline; expired ones fail."""
     return O.retry_set(record_outcomes(spark, d), CFG, F.col("end_ts")).select(
-        "source_id", "outcome", "code", "message", "cause_code", "cause_message", US("deadline_ts").alias("deadline_us"))
+        "source_id", "outcome", "code", "message", "cause_code", "cause_message",
+        F.array_join(F.transform("attempts", lambda a: a["error_code"]), "|").alias("history"), US("deadline_ts").alias("deadline_us"))
 
 
 @query("union_retries", """
