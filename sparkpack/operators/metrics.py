@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sparkpack.functions import metric_names as M
 from sparkpack.functions.text import ms_between
-from sparkpack.operators.scan import ordered_scan, row_numbers
+from sparkpack.operators.scan import ordered_scan
+from sparkpack.operators.segments import cut_batches
 
 STATS = ["count", "sum", "min", "max"]
 
@@ -127,14 +128,21 @@ def metric_datums(metrics: DataFrame) -> DataFrame:
         "name": name, "unit": M.metric_unit(name), "dims": F.filter("dims", lambda x: x["key"] != M.METRIC_NAME)})
 
 
-def metric_batches(metrics: DataFrame, batch_size: int = 20) -> DataFrame:
-    """Upload batches in order of dimension count, then dimensions. The order is scanned per name prefix."""
-    text = M.dims_text(F.col("dims"))
-    m = metrics.withColumns({"n_dims": F.size("dims"), "dims_text": text})
-    cut = F.concat(F.lpad(F.col("n_dims").cast("string"), 10, "0"), F.substring("dims_text", 1, 64))
-    numbered = row_numbers(m, [], cut, [F.col("n_dims"), F.col("dims_text")])
-    return numbered.withColumns({
-        "batch_no": F.floor((F.col("rn") - 1) / batch_size).cast("bigint"), "pos": (F.col("rn") - 1) % batch_size}).drop("rn")
+#: Bytes an upload text spends on a metric's statistics, and on each dimension besides its key and value.
+DATUM_BYTES, DIMENSION_BYTES = 256, 64
+#: An upload stays below 39 KiB.
+UPLOAD_BYTES = 39 * 1024 - 1
+
+
+def upload_size(dims: Column) -> Column:
+    return (F.octet_length(M.dims_text(dims)) + F.size(dims) * DIMENSION_BYTES + DATUM_BYTES).cast("bigint")
+
+
+def metric_batches(metrics: DataFrame, batch_size: int = 20, batch_bytes: int = UPLOAD_BYTES) -> DataFrame:
+    """Upload batches in order of dimension count, then dimensions, bounded in rows and in bytes; a metric above the byte bound
+    travels alone."""
+    m = metrics.withColumns({"n_dims": F.size("dims"), "dims_text": M.dims_text(F.col("dims")), "upload_bytes": upload_size(F.col("dims"))})
+    return cut_batches(m, [F.col("n_dims"), F.col("dims_text")], F.col("upload_bytes"), batch_size, batch_bytes)
 
 
 def error_counts(attempts: DataFrame) -> DataFrame:

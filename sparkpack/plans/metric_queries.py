@@ -121,12 +121,23 @@ def metric_datums(spark, d):
     return stats(MT.metric_datums(rolled_up(spark, d)), "name", dims_text(), "unit")
 
 
-@query("metric_batches", """
-    SELECT dims, (row_number() OVER w - 1) // 20 AS batch_no, (row_number() OVER w - 1) % 20 AS pos
-    FROM (SELECT DISTINCT dims, n_dims FROM metric_prefixes) WINDOW w AS (ORDER BY n_dims, dims)""")
+#: A bound that some batches of the test tables meet before they hold twenty metrics.
+SMALL_UPLOAD = 9_000
+
+
+@query("metric_batches", f"""
+    WITH RECURSIVE o AS (
+      SELECT dims, strlen(dims) + {MT.DIMENSION_BYTES} * n_dims + {MT.DATUM_BYTES} AS size, row_number() OVER (ORDER BY n_dims, dims) AS rn
+      FROM (SELECT DISTINCT dims, n_dims FROM metric_prefixes)),
+    r AS (
+      SELECT dims, rn, size, 0::BIGINT AS batch_no, 0::BIGINT AS pos FROM o WHERE rn = 1
+      UNION ALL
+      SELECT o.dims, o.rn, CASE WHEN new THEN o.size ELSE r.size + o.size END, CASE WHEN new THEN r.batch_no + 1 ELSE r.batch_no END, CASE WHEN new THEN 0 ELSE r.pos + 1 END
+      FROM r JOIN o ON o.rn = r.rn + 1, LATERAL (SELECT r.pos = 19 OR r.size + o.size > {SMALL_UPLOAD} AS new))
+    SELECT dims, batch_no, pos FROM r""")
 def metric_batches(spark, d):
-    """Upload batches of twenty."""
-    return MT.metric_batches(rolled_up(spark, d)).select(F.col("dims_text").alias("dims"), "batch_no", "pos")
+    """Upload batches of at most twenty metrics and a bound of bytes."""
+    return MT.metric_batches(rolled_up(spark, d), batch_bytes=SMALL_UPLOAD).select(F.col("dims_text").alias("dims"), "batch_no", "pos")
 
 
 @query("error_counts", f"""
