@@ -11,10 +11,11 @@ from random import Random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkpack.llm.common import sorted_groups, stage
+from sparkpack.llm.common import GOLDEN, mix, powers, sorted_groups, stage
 
 CAPACITY, END_ID = 4096, 1
 #: Pieces of one block on average: the problem one population solves.
@@ -28,10 +29,70 @@ _SEED = 4096
 
 #: Anything but the characters for which texts are cut here: printable ASCII, usual blanks, Latin letters, common marks.
 _ODD = re.compile(r"[^\t\n\r\x20-\x7e¡-±´-¸º»¿À-ÖØ-öø-įĲ-ňŊ-ž–-…€]")
-#: Fixed value: how the tokenizer cuts lower-cased words, for the characters above.
-_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
+_BLANK = re.compile(r"\s")
 #: Cuts kept per generation of the table.
-_KEPT = 200_000
+_KEPT = 400_000
+#: Characters cut at a time; the arrays take about 60 bytes for each.
+CHARS = 1 << 20
+
+_kinds: np.ndarray | None = None
+
+
+def kinds() -> np.ndarray:
+    """Code to the kind of cut it belongs to: 0 blank, 1 letter, 2 digit, 3 anything else."""
+    global _kinds
+    if _kinds is None:
+        _kinds = np.full(1 << 16, 3, np.uint8)
+        for code in range(1 << 16):
+            c = chr(code)
+            _kinds[code] = 0 if c.isspace() else 2 if "0" <= c <= "9" else 1 if c.isalpha() else 3
+    return _kinds
+
+
+def cuts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the cuts of a lower-cased text that ends with a blank: as the tokenizer cuts it.
+
+    Letters and other marks form runs, each digit stands alone, and a single apostrophe takes the ending of a short form
+    from the run of letters behind it.
+    """
+    kind = kinds()[codes]
+    edge = np.empty(len(kind), bool)
+    edge[:1] = True
+    edge[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    starts = np.flatnonzero(edge)
+    ends = np.append(starts[1:], len(codes))
+    real = kind[starts] > 0
+    starts, ends = starts[real], ends[real]
+    mark = np.flatnonzero((codes[starts] == 39) & (ends - starts == 1) & (kind[np.minimum(ends, len(kind) - 1)] == 1))
+    if len(mark):
+        at = ends[mark]
+        one, two = codes[at], codes[np.minimum(at + 1, len(codes) - 1)]
+        short = np.isin(one, [ord(c) for c in "stmd"])
+        long = ((two == ord("e")) & np.isin(one, [ord("r"), ord("v")])) | ((one == ord("l")) & (two == ord("l")))
+        taken = np.where(short, 1, np.where(long, 2, 0))
+        ends[mark] += taken
+        starts[mark + 1] += taken
+        left = starts < ends
+        starts, ends = starts[left], ends[left]
+    return starts, ends
+
+
+def distinct(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each run among the distinct runs, and an example of each. Runs of one hash are compared code by code."""
+    length = ends - starts
+    first = np.cumsum(length) - length
+    within = np.arange(int(length.sum())) - np.repeat(first, length)
+    own = codes[within + np.repeat(starts, length)]
+    values = (own.astype(np.uint64) + np.uint64(1)) * GOLDEN * powers(int(length.max()))[within]
+    hashes = mix(np.add.reduceat(values, first) + length.astype(np.uint64) * GOLDEN)
+    _, example, number = np.unique(hashes, return_index=True, return_inverse=True)
+    same = np.array_equal(length[example][number], length)
+    if not (same and np.array_equal(own, own[np.repeat(first[example][number], length) + within])):
+        seen: dict[bytes, int] = {}
+        runs_of = [own[a: a + n].tobytes() for a, n in zip(first.tolist(), length.tolist())]
+        number = np.array([seen.setdefault(r, len(seen)) for r in runs_of])
+        _, example = np.unique(number, return_index=True)
+    return number, example
 
 
 class Recent:
@@ -90,10 +151,64 @@ class WordTokens:
             out.append(struct.pack(f"<{len(ids)}I", *ids) if (ids := [t.id for t in merge(at)]) else b"")
         return out
 
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Texts of the characters above: numpy cuts them and numbers their distinct cuts, of which alone Python makes strings."""
+        text = "\n".join([*texts, ""])
+        codes = np.frombuffer(text.encode("utf-16-le"), "<u2")
+        starts, ends = cuts(codes)
+        if not len(starts):
+            return [b""] * len(texts)
+        number, examples = distinct(codes, starts, ends)
+        words = [text[a:e] for a, e in zip(starts[examples].tolist(), ends[examples].tolist())]
+        table = self.cuts.of(words)
+        ids = [table[w] for w in words]
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        length = np.fromiter((len(i) // 4 for i in ids), np.int64, len(ids))
+        first = np.cumsum(length) - length
+        own = length[number]                                        # ids of each cut of the text
+        done = np.cumsum(own)
+        out = flat[np.arange(int(done[-1])) + np.repeat(first[number] - (done - own), own)]
+        edge = np.cumsum([len(t) + 1 for t in texts])
+        upto = np.concatenate([[0], done])[np.searchsorted(starts, edge)].tolist()
+        return [out[a:e].tobytes() for a, e in zip([0, *upto], upto)]
+
+    def _long(self, text: str) -> bytes:
+        """A long text in parts of about CHARS characters, cut before blanks, which belong to no cut."""
+        parts, lo = [], 0
+        while lo < len(text):
+            blank = _BLANK.search(text, lo + CHARS)
+            hi = blank.start() if blank else len(text)
+            parts.append(self._plain([text[lo:hi]])[0])
+            lo = hi
+        return b"".join(parts)
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = {i: _CUT.findall(t.lower()) for i, t in enumerate(texts) if "<|" not in t and not _ODD.search(t)}
-        get = self.cuts.of([c for cuts in plain.values() for c in cuts]).__getitem__
-        return [b"".join(map(get, plain[i])) if i in plain else self._encode([t])[0] for i, t in enumerate(texts)]
+        out: list[bytes] = [b""] * len(texts)
+        plain: list[int] = []
+        lowered: list[str] = []
+        size = 0
+
+        def flush():
+            nonlocal size
+            for i, ids in zip(plain, self._plain(lowered)):
+                out[i] = ids
+            plain.clear(), lowered.clear()
+            size = 0
+
+        for i, t in enumerate(texts):
+            if "<|" in t or _ODD.search(t):
+                out[i] = self._encode([t])[0]
+            elif len(t) > CHARS:
+                out[i] = self._long(t.lower())
+            elif t:
+                plain.append(i)
+                lowered.append(t.lower())
+                size += len(t)
+                if size > CHARS:
+                    flush()
+        if plain:
+            flush()
+        return out
 
 
 _loaded: dict[str, WordTokens] = {}
@@ -106,6 +221,16 @@ def word_tokens(path: str) -> WordTokens:
     return _loaded[path]
 
 
+def text_parts(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about `limit` bytes of text; a longer text is a slice of its own."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_string())), 0).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + limit, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def _pieces(path: str, capacity: int, end_id: int):
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
     end = np.array([end_id], "<u4").tobytes()
@@ -113,8 +238,7 @@ def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 200):
-                part = batch.slice(lo, 200)
+            for part in text_parts(batch, 1, 4 * CHARS):
                 rows: list[tuple] = []
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for doc, ids in zip(part.column(0).to_pylist(), tokens.encode(texts)):
@@ -127,7 +251,10 @@ def _pieces(path: str, capacity: int, end_id: int):
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """One row per piece of a document's ids plus the end id: doc_id, piece, start, length, ids_crc32. tokenizer: a path all executors have."""
+    """One row per piece of a document's ids plus the end id: doc_id, piece, start, length, ids_crc32. tokenizer: a path all executors have.
+
+    Null and empty texts are the end id alone; repeated rows and null ids give their pieces each; other columns are ignored.
+    """
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         _pieces(tokenizer, capacity, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -224,3 +224,22 @@ def test_given_pages_give_their_articles(spark):
         inner = re.search(r"<article>(.*)</article>", source[r["page_id"]], re.S).group(1)
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
         assert r["text"] == "\n\n".join(b for b in blocks if b)
+
+
+def test_cut_texts_have_the_tokenizers_ids(monkeypatch):
+    """All texts of sf0.01 and short forms in odd places, with small and large slices."""
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    from sparkpack.llm import packing
+    from sparkpack.llm.queries import tokenizer_path
+
+    rng = random.Random(1)
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()]
+    texts += ["don't we'll they've i'm he'd you're it's 'tis ''s \"'s x's's 's", "'", "l'", "a'l b'r c'v 're've", "12a3'4", "''", "foo's\n'bar", "<|x|> y", "日本 a"]
+    texts += ["".join(rng.choice("ab'strevlmd 1,._é\n\t") for _ in range(rng.randrange(80))) for _ in range(500)]
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    expected = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    for size in (3000, 1 << 20):
+        monkeypatch.setattr(packing, "CHARS", size)
+        assert packing.WordTokens(tokenizer_path()).encode(texts) == expected
