@@ -10,26 +10,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkpack.operators.scan import spread
+from sparkpack.operators.scan import ranged_row_numbers, spread
 from sparkpack.operators.stage import materialize
 
 BLOCK_ROWS = 4096
 
 
-def global_row_numbers(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Add the row number (from 0) in a global order. Spark deals the order out in ranges of equal size; each range is numbered on
-    its own, and only the sizes of the ranges meet in one task."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = materialize(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
-    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return dealt.withColumn("_in", inside).join(starts, "_part").withColumn(name, (F.col("_start") + F.col("_in")).cast("bigint")).drop("_part", "_start", "_in")
-
-
 def _next_starts(size: np.ndarray, max_rows: int, max_size: int) -> np.ndarray:
     """For each row the start of the next batch if one starts here; a row above the size bound travels alone."""
     total = np.concatenate([[0], np.cumsum(size)])
@@ -94,7 +83,7 @@ def cut_batches(df: DataFrame, order: list[Column], size: Column, max_rows: int,
     long as it can be. A row larger than max_size is a batch of its own. Ties of the order may fall either way; nulls in
     `size` count nothing. No rows give no rows."""
     block_rows = max(block_rows, max_rows)
-    numbered = materialize(global_row_numbers(df, order, "rn"))
+    numbered = materialize(ranged_row_numbers(df, [], order))
     block = F.floor(F.col("rn") / block_rows).cast("bigint")
     slim = numbered.select("rn", F.coalesce(size.cast("bigint"), F.lit(0).cast("bigint")).alias("size"))
     # a block also sees the rows its last batch may reach into

@@ -157,7 +157,7 @@ def shard_lookup(spark, d):
 def shard_lookup_by_stream(spark, d):
     """The same lookup with a map per stream that grows with the number of keys."""
     m = shards.shard_ranges(scans.shard_pages_scan(fx.shard_pages(spark, d)), ["stream_name"])
-    return shards.shard_lookup(fx.keyed(fx.user_records(spark, d)), m, on=["stream_name"]).select("source_id", "stream_name", "shard_no")
+    return shards.shard_lookup_index(fx.keyed(fx.user_records(spark, d)), shards.shard_index(m, ["stream_name"])).select("source_id", "stream_name", "shard_no")
 
 
 @query("shard_lookup_down", """

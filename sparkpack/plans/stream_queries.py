@@ -14,6 +14,7 @@ from sparkpack.plans.registry import query
 from sparkpack.sources import fixtures as fx
 from sparkpack.sources import scans
 from sparkpack.streaming import outcomes, processors, statistics
+from sparkpack.streaming.routing import MapInUse, route_with_feedback
 from sparkpack.streaming.runner import run_and_close, run_each_batch, run_to_table, stream_session, table_stream
 
 US = F.unix_micros
@@ -130,14 +131,19 @@ def stream_finish_once(spark, d):
     SELECT source_id, k.stream_name, coalesce(o.shard_no, -1) AS shard_no
     FROM keyed k ASOF LEFT JOIN open_shards o ON o.stream_name = k.stream_name AND o.end_key >= k.hash_key""")
 def stream_shard_refresh(spark, d):
-    """Every micro-batch is routed with the shard map as it is then."""
+    """Micro-batches are routed by one shard map until a result shows a record in another shard; then it is read again."""
     s = stream_session(spark)
+    maps = MapInUse(lambda session: scans.shard_pages_scan(fx.shard_pages(session, d)))
 
-    def route(batch):
-        now = shards.shard_ranges(scans.shard_pages_scan(fx.shard_pages(batch.sparkSession, d)), ["stream_name"])
-        return shards.shard_lookup(fx.keyed(batch), now, on=["stream_name"]).select("source_id", "stream_name", "shard_no")
+    def stored(batch):
+        """The service keeps to the map of the tables, so what it stores where is a lookup of its own."""
+        now = shards.shard_lookup(batch.drop("shard_no"), shards.shard_ranges(scans.shard_pages_scan(fx.shard_pages(batch.sparkSession, d)), ["stream_name"]), on=["stream_name"])
+        there = now.select("source_id", F.col("shard_no").alias("stored_shard"))
+        return batch.select("source_id", "stream_name", F.col("shard_no").alias("predicted_shard")).join(there, "source_id")
 
-    return run_each_batch(record_stream(s, d), route, "source_id long, stream_name string, shard_no long")
+    step = route_with_feedback(maps, stored)
+    return run_each_batch(record_stream(s, d), lambda batch: step(fx.keyed(batch)).select("source_id", "stream_name", "shard_no"),
+                          "source_id long, stream_name string, shard_no long")
 
 
 @query("stream_deaggregate", """

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkpack.functions import keys as K
+from sparkpack.operators.scan import ranged_row_numbers
 
 PUT_RECORD_SCHEMA = (
     "source_id long, stream_name string, partition_key string, explicit_hash_key string, "
@@ -93,5 +94,5 @@ def read_on(records: DataFrame, after: str, limit: int = 1000) -> DataFrame:
     """Consumer read to the end: every record after a sequence number, with the number of the page (from 0) that brings it."""
     seq = sequence_order(F.col("sequence_number"))
     later = records.filter(seq > F.lit(after.rjust(SEQUENCE_DIGITS, "0")))
-    place = F.row_number().over(Window.partitionBy("shard_no").orderBy(seq)) - 1
-    return later.withColumn("page", F.floor(place / limit).cast("bigint"))
+    placed = ranged_row_numbers(later, ["shard_no"], [seq], "_place")
+    return placed.withColumn("page", F.floor(F.col("_place") / limit).cast("bigint")).drop("_place")

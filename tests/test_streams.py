@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from sparkpack.functions import metric_names as M
 from sparkpack.operators import metrics as MT
+from sparkpack.operators import shards
 
 from sparkpack.operators.stage import new_path
 from sparkpack.plans import packing_queries as P
 from sparkpack.sources import fixtures as fx
 from sparkpack.streaming import outcomes, processors, statistics
-from sparkpack.streaming.runner import run_and_close, run_to_table, stream_session
+from sparkpack.streaming.routing import MapInUse, route_with_feedback
+from sparkpack.streaming.runner import run_and_close, run_each_batch, run_to_table, stream_session
 
 
 def parts(spark, d, n=3, order=None):
@@ -135,3 +137,35 @@ def test_a_silent_key_flushes_at_its_deadline(spark):
     rows = {r.id: r for r in run_and_close(s, lambda ticks: processors.stream_pack(puts, P.full_rule(fx.SCALED), ticks=ticks), "2100-01-02").collect()}
     assert set(rows) == {1, 2, 3, 4, 5, 6}
     assert rows[6].late and not rows[5].late and rows[6].flush_us >= 1000_000_000
+
+
+def test_a_wrong_shard_renews_the_map(spark, data_dir):
+    """Shard 2 closes after the first micro-batch: the second is still routed by the old map, its results show it, and no record of
+    the third goes to the closed shard."""
+    _, events = parts(spark, data_dir)
+    before = {2: fx.THREE_SHARDS[0][1], 3: fx.THREE_SHARDS[1][1], 1: fx.THREE_SHARDS[2][1]}
+    after = {4: "042535295865117307932921825928971026431", 5: before[2], 3: before[3], 1: before[1]}
+    state = {"batches": 0}
+
+    def service(session):
+        ends = before if state["batches"] < 1 else after
+        names = fx.events(session, data_dir).select(F.col("event_type").alias("stream_name")).distinct()
+        return names.crossJoin(F.broadcast(fx.values(session, list(ends.items()), "shard_no, end_key").withColumn("shard_no", F.col("shard_no").cast("bigint"))))
+
+    maps = MapInUse(service)
+
+    def stored(routed):
+        now = shards.shard_lookup(routed.drop("shard_no"), shards.shard_ranges(service(routed.sparkSession), ["stream_name"]), on=["stream_name"])
+        return routed.select("source_id", F.col("shard_no").alias("predicted_shard")).join(now.select("source_id", F.col("shard_no").alias("stored_shard")), "source_id")
+
+    step, sent = route_with_feedback(maps, stored), []
+
+    def route(batch):
+        out = step(fx.keyed(batch))
+        sent.append({r.shard_no for r in out.select("shard_no").distinct().collect()})
+        state["batches"] += 1
+        return out.select("source_id", "shard_no")
+
+    got = run_each_batch(fx.records_from_events(events), route, "source_id long, shard_no long")
+    assert got.count() == fx.events(spark, data_dir).count()
+    assert sent[0] == {1, 2, 3} and 2 in sent[1] and sent[2] == {1, 3, 4, 5} and maps.reads == 2
