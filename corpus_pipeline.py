@@ -36,12 +36,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    slim = docs.select(F.col("doc_id").alias("_id"), "source", n_words(F.col("text")).alias("_size"))
+    """Every row as often as the mix takes it. Rows that repeat an id, or have none, are taken each on their own."""
+    rows = stage(docs.withColumn("_mix_row", F.monotonically_increasing_id()))
+    slim = rows.select("_mix_row", F.col("doc_id").alias("_id"), "source", n_words(F.col("text")).alias("_size"))
     mixed = mixing.mix_sources(slim, "_id", F.col("_size"), F.array("source"), mixing.cycling_weights)
-    # rows that repeat an id share its first row's number of copies
-    copies = stage(mixed.groupBy("_id").agg(F.max("copies").alias("_copies")).filter("_copies > 0"))
-    out = docs.join(copies.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(copies["_id"]))
+    taken = stage(mixed.filter("copies > 0").select(F.col("_mix_row").alias("_taken"), F.col("copies").alias("_copies")))
+    out = rows.join(taken.hint("shuffle_hash"), rows["_mix_row"] == taken["_taken"])
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
 
 
