@@ -406,3 +406,35 @@ def test_pipeline(spark, data_dir):
     assert max(r["count"] for r in mixed.groupBy("doc_id").count().collect()) <= 3
     packed = corpus_pipeline.pack(spark, mixed, data_dir)
     assert packed.select("doc_id").distinct().count() == mixed.select("doc_id").distinct().count()
+
+
+def test_pipeline_takes_rows_that_repeat_an_id_on_their_own(spark):
+    """Rows of one id in different sources and rows without an id: each is taken by its own source's share; whole stages keep
+    nulls, empty texts, clashing columns and empty tables."""
+    import corpus_pipeline
+    rng = random.Random(8)
+    vocab = [f"word{i}" for i in range(400)]
+    text = lambda n: " ".join(rng.choice(["the", "of", "and"] if rng.random() < 0.2 else vocab) for _ in range(n))
+    rows = [(i % 40 if i % 5 else None, text(60 + i % 7), "en", f"s{i % 4}", 0) for i in range(200)]
+    rows += [(1, None, "en", "s1", 0), (1, "", "en", None, 0), rows[3], rows[3]]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("copies", F.lit("own")).withColumn("size", F.lit(-1)).repartition(4)
+    mixed = corpus_pipeline.mix(spark, docs, "").collect()
+    of = Counter((r.doc_id, r.text, r.source) for r in mixed)
+    there = Counter((i, t, s) for i, t, _, s, _ in rows)
+    assert all(of[k] <= 3 * there[k] for k in of) and not set(of) - set(there)
+    n_words = lambda t: len(words(t))
+    total = sum(n_words(r[1]) for r in rows)
+    for s, weight in (("s0", 1), ("s1", 2), ("s2", 3), ("s3", 1)):
+        own, got = sum(n_words(r[1]) for r in rows if r[3] == s), sum(n_words(r.text) for r in mixed if r.source == s)
+        assert abs(got - min(3 * own, total * weight / 7)) < 0.2 * own
+    assert mixed and set(mixed[0].asDict()) == set(docs.columns) and {r.copies for r in mixed} == {"own"}
+    before = docs
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        before = corpus_pipeline.stage(step(spark, before, ""))
+        assert before.columns == docs.columns
+    assert corpus_pipeline.pack(spark, before, "").count() > 0
+    nothing = docs.limit(0)
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        nothing = corpus_pipeline.stage(step(spark, nothing, ""))
+        assert nothing.count() == 0
+    assert corpus_pipeline.pack(spark, nothing, "").count() == 0
