@@ -6,7 +6,7 @@ where the previous batch ended; they are still computed in parallel for one hot
 1. the order of each key is cut into blocks of bounded cost, and the tail of a block that may still be
    buffered is repeated in the next one;
 2. each block computes, for every buffer it may inherit, the buffer it leaves behind (few distinct answers);
-3. the answers are chained per key -- a handful of numbers per block, not rows;
+3. the answers are chained per key -- a handful of numbers per block, not rows, and in groups if there are many;
 4. each block replays its records from its one true starting buffer.
 """
 from __future__ import annotations
@@ -16,10 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkpack.operators.fold import NEVER, BatchRule, Stretch
-from sparkpack.operators.scan import ordered_scan, row_numbers, spread, time_slice
+from sparkpack.operators.scan import ordered_scan, ranged_row_numbers, row_numbers, spread, time_slice
+from sparkpack.operators.stage import materialize
 
 ORDER = ["deadline_ts", "arrival_ts", "source_id"]
 KEYS = ["stream_name", "shard_no"]
+#: Blocks one task follows from first to last.
+CHAIN = 4096
 
 
 def _order(order: list[str]) -> list[Column]:
@@ -140,21 +143,61 @@ def _transitions(keys: list[str], rule: BatchRule, width: int | None, buffered_u
     return fn
 
 
+def _follow(entry: int, starts, leaves) -> int:
+    """The buffer start a step function makes of the one it is entered with."""
+    at = max(i for i, x in enumerate(starts) if x <= max(entry, starts[0]))
+    return int(leaves[at])
+
+
 def _chain(keys: list[str]):
-    """Follow the step functions of one key's blocks in order."""
+    """Follow the step functions of consecutive blocks from the buffer start the first one is entered with (its own first, if null)."""
     def fn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_block", ignore_index=True)
-        entry, rows = None, []
+        first = pdf["_entry"].iloc[0]
+        entry, rows = int(pdf["starts"].iloc[0][0] if pd.isna(first) else first), []
         for block, starts, leaves in zip(pdf["_block"], pdf["starts"], pdf["leaves"]):
-            if entry is None:
-                entry = int(starts[0])
-            rows.append([*key, block, entry])
-            at = max(i for i, x in enumerate(starts) if x <= max(entry, starts[0]))
-            entry = int(leaves[at])
+            rows.append([*key[: len(keys)], block, entry])
+            entry = _follow(entry, starts, leaves)
         return pd.DataFrame(rows, columns=[*keys, "_block", "entry"])
     return fn
 
 
+def _through(keys: list[str]):
+    """One step function for a group of consecutive blocks."""
+    def fn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_block", ignore_index=True)
+        starts, leaves = [], []
+        for s in pdf["starts"].iloc[0]:
+            entry = int(s)
+            for own, out in zip(pdf["starts"], pdf["leaves"]):
+                entry = _follow(entry, own, out)
+            if not leaves or leaves[-1] != entry:
+                starts.append(int(s))
+                leaves.append(entry)
+        return pd.DataFrame([[*key, starts, leaves]], columns=[*keys, "_group", "starts", "leaves"])
+    return fn
+
+
+def _entries(maps: DataFrame, keys: list[str], key_ddl: str) -> DataFrame:
+    """The buffer start every block is entered with: (keys, _block, entry).
+
+    A key with more than CHAIN blocks is chained in groups: each group becomes one step function, the groups are chained the
+    same way, and each group is followed from its entry. So a task follows CHAIN blocks whatever share of the rows a key holds.
+    """
+    maps = materialize(maps)
+    most = maps.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    chained = f"{key_ddl}, _block long, entry long"
+    if most <= CHAIN:
+        return maps.withColumn("_entry", F.lit(None).cast("bigint")).groupBy(*keys).applyInPandas(_chain(keys), chained)
+    numbered = ranged_row_numbers(maps, keys, [F.col("_block")], "_no")
+    numbered = materialize(numbered.withColumn("_group", F.floor(F.col("_no") / CHAIN).cast("bigint")).drop("_no"))
+    by = [*keys, "_group"]
+    groups = numbered.groupBy(*by).applyInPandas(_through(keys), f"{key_ddl}, _group long, starts array<long>, leaves array<long>")
+    entered = _entries(groups.withColumnRenamed("_group", "_block"), keys, key_ddl)
+    entered = entered.withColumnRenamed("_block", "_group").withColumnRenamed("entry", "_entry")
+    return numbered.join(entered, by).groupBy(*by).applyInPandas(_chain(keys), chained)
+
+
 def _replay(keys: list[str], rule: BatchRule, width: int | None, buffered_us: int):
     """Flush a block's records from its true starting buffer; records still buffered belong to the next block."""
     columns = [*keys, "id", "rn", "batch_rn", "pos", "flush_us", "reason"]
@@ -202,7 +245,7 @@ def fold_batches(
     key_ddl = ", ".join(f"{k} {types[k]}" for k in keys)
     maps = rows.groupBy(*by).applyInPandas(
         _transitions(keys, rule, width, buffered_us), f"{key_ddl}, _block long, starts array<long>, leaves array<long>")
-    entries = maps.groupBy(*keys).applyInPandas(_chain(keys), f"{key_ddl}, _block long, entry long")
+    entries = _entries(maps, keys, key_ddl)
     return rows.join(entries, by).groupBy(*by).applyInPandas(
         _replay(keys, rule, width, buffered_us),
         f"{key_ddl}, id {types[id_col]}, rn long, batch_rn long, pos long, flush_us long, reason string")

@@ -36,9 +36,11 @@ RULES = {
 }
 
 
-@pytest.mark.parametrize("name", RULES)
-def test_fold_equals_record_by_record(spark, name):
-    rule, rows = RULES[name], make(1500, 7)
+@pytest.mark.parametrize("name, chain", [(n, None) for n in RULES] + [("packed", 3), ("sum no timers", 5), ("deadline", 2)])
+def test_fold_equals_record_by_record(spark, monkeypatch, name, chain):
+    if chain:                                       # few blocks a task: several levels of groups
+        monkeypatch.setattr(B, "CHAIN", chain)
+    rule, rows = RULES[name], make(1500 if not chain else 500, 7)
     df = spark.createDataFrame(rows, SCHEMA).withColumns({
         "arrival_ts": F.timestamp_micros("arrival"), "deadline_ts": F.timestamp_micros("deadline")})
     got = B.fold_batches(
