@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from sparkpack.llm.common import LETTERS, run_hashes, runs, stage, text_chunks
 
-#: Model parameters: most tokens kept (strongest first), doubt in standard deviations, documents of the prior.
-MODEL_TOKENS, DOUBT, PRIOR = 50_000, 1.0, 4.0
+#: Model parameters: doubt in standard deviations, documents of the prior.
+DOUBT, PRIOR = 1.0, 4.0
+#: Labelled rows the model is fitted on at most, about; with more, a seeded sample of them. This bounds the model.
+LABELLED = 500_000
 #: A token's score in a segment is at most this; all other tokens together draw a segment down at this rate.
 MOST, OTHER = 6.0, -0.05
 
@@ -55,7 +57,8 @@ def learn_tokens(labelled: DataFrame, toxic: str = "toxic", text: str = "text")
     Tokens are runs of letters, A-Z lower-cased; documents with a token are counted over all labelled rows and summed before
     the shuffle. The prior adds PRIOR documents to each token, toxic in the share of all labelled ones; the score is
     the log-odds of the two counts less DOUBT standard deviations, so a token seen seldom, or in both kinds, has none.
-    Tokens with a score above 0 are the model, the MODEL_TOKENS strongest at most; that bounds what reaches the driver.
+    All tokens with a score above 0 are the model. They stand in several toxic documents each, so they are fewer than the words
+    of the labelled toxic texts, which LABELLED bounds.
     """
     rows = labelled.select(F.col(toxic).cast("int").alias("toxic"), F.col(text).alias("text"))
     kinds = {r["toxic"]: float(r["n"]) for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -67,11 +70,10 @@ def learn_tokens(labelled: DataFrame, toxic: str = "toxic", text: str = "text")
                                        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("y0"))
     toxic_docs, other_docs = F.col("y1") + PRIOR * n1 / (n1 + n0), F.col("y0") + PRIOR * n0 / (n1 + n0)
     score = F.log(toxic_docs / other_docs) - DOUBT * F.sqrt(1 / toxic_docs + 1 / other_docs)
-    best = (one.filter("y1 > 0").select("token", score.alias("score")).filter("score > 0")
-            .orderBy(F.desc("score"), "token").limit(MODEL_TOKENS).collect())
-    best.sort(key=lambda r: r["token"] % 2**64)
-    hashes = np.array([r["token"] for r in best], np.int64).view(np.uint64)
-    return Model(hashes, np.minimum(np.array([r["score"] for r in best], float), MOST))
+    best = one.filter("y1 > 0").select("token", score.alias("score")).filter("score > 0").toArrow()
+    hashes = best.column("token").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return Model(hashes[order], np.minimum(best.column("score").to_numpy()[order], MOST))
 
 
 def segments(scores: np.ndarray, places: np.ndarray, other: float) -> list[tuple[float, int, int]]:
@@ -176,7 +178,14 @@ def calibrate(model: Model, labelled: DataFrame, toxic: str = "toxic", text: str
 
 
 def fit(labelled: DataFrame, toxic: str = "toxic", text: str = "text") -> Model:
-    """Tokens from two thirds of the rows (by a hash of the text), calibration on the rest, whose tokens the model has not seen."""
+    """Tokens from two thirds of the rows (by a hash of the text), calibration on the rest, whose tokens the model has not seen.
+
+    Of more than LABELLED labelled rows a sample of about that many is taken, by a hash of text and place in the stored table.
+    """
+    n = labelled.count()
+    if n > LABELLED:
+        place = F.pmod(F.xxhash64(F.col(text), F.monotonically_increasing_id()), F.lit(1 << 30))
+        labelled = stage(labelled.withColumn("_place", place).filter(F.col("_place") < int(LABELLED / n * (1 << 30))).drop("_place"))
     part = F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(3))
     return calibrate(learn_tokens(labelled.filter(part < 2), toxic, text), labelled.filter(part == 2), toxic, text)
 

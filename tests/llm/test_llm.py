@@ -408,6 +408,19 @@ def test_pipeline(spark, data_dir):
     assert packed.select("doc_id").distinct().count() == mixed.select("doc_id").distinct().count()
 
 
+def test_toxicity_keeps_every_scored_token(spark, monkeypatch):
+    """More tokens with a score than a fixed table would hold; and the sample of many labelled rows."""
+    names = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(60_000)]
+    rows = [(1, " ".join(names)) for _ in range(30)] + [(0, "calm words here") for _ in range(30)]
+    model = toxicity.learn_tokens(spark.createDataFrame(rows, "toxic int, text string").repartition(4))
+    assert len(model.hashes) == 60_000 and (np.diff(model.hashes.astype(object)) > 0).all()
+    monkeypatch.setattr(toxicity, "LABELLED", 400)
+    many = [(int(i % 5 == 0), f"text {i} " + ("vile slur " if i % 5 == 0 else "kind word ") * 3) for i in range(4000)]
+    fitted = toxicity.fit(spark.createDataFrame(many, "toxic int, text string"))
+    got = toxicity.score_toxicity(spark.createDataFrame([(1, "a vile slur it is"), (2, "a kind word it is")], "doc_id long, text string"), fitted, F.lit(False))
+    assert {r.doc_id: r.predicted for r in got.collect()} == {1: 1, 2: 0}
+
+
 def test_pipeline_takes_rows_that_repeat_an_id_on_their_own(spark):
     """Rows of one id in different sources and rows without an id: each is taken by its own source's share; whole stages keep
     nulls, empty texts, clashing columns and empty tables."""
