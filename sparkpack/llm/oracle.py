@@ -178,5 +178,30 @@ FROM scored LEFT JOIN ranked USING (rn)
 """
 
 
-ORACLES = {"op2_near_dedup": NEAR_DEDUP, "op5_vector_dedup": VECTOR_DEDUP, "op7_quality_rules": quality_sql(),
+#: CRC-32 folded over the bits of every text; seeded ranks within each source, then one order by fractional rank.
+SHARDING = """
+WITH d AS (
+    SELECT doc_id, source, coalesce(text, '') AS t FROM documents
+), spelled AS (
+    SELECT *, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda p: ('0x' || p)::BIGINT) AS bytes FROM d
+), crc AS (
+    SELECT doc_id, source, strlen(t) + 1 AS size, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(bytes,
+               lambda b: [b & 1, (b >> 1) & 1, (b >> 2) & 1, (b >> 3) & 1, (b >> 4) & 1, (b >> 5) & 1, (b >> 6) & 1, (b >> 7) & 1]))),
+               lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295::BIGINT) AS text_crc32,
+           ('0x' || substr(md5('20240229:' || coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(source, '-')), 1, 15))::BIGINT AS h
+    FROM spelled
+), ranked AS (
+    SELECT *, source IS NULL AS z, coalesce(source, '') AS s, row_number() OVER w - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM crc
+    WINDOW w AS (PARTITION BY source ORDER BY h, doc_id NULLS FIRST)
+), placed AS (
+    SELECT *, row_number() OVER (ORDER BY (2 * r + 1) / (2.0::DOUBLE * n), z, s, h, doc_id NULLS FIRST) - 1 AS place, count(*) OVER () AS total FROM ranked
+), sharded AS (
+    SELECT *, least(place * 8 // total, 7) AS shard FROM placed
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard,
+       CAST(place - (shard * total + 7) // 8 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM sharded
+"""
+
+ORACLES = {"op1_sharding": SHARDING, "op2_near_dedup": NEAR_DEDUP, "op5_vector_dedup": VECTOR_DEDUP, "op7_quality_rules": quality_sql(),
            "op11_source_audit": SOURCE_AUDIT, "op12_resampling": resampling_sql()}
