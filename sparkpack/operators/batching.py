@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkpack.operators.fold import NEVER, BatchRule, Stretch
-from sparkpack.operators.scan import ordered_scan, ranged_row_numbers, row_numbers, spread, time_slice
+from sparkpack.operators.scan import RANGE, deal_ranges, ordered_scan, ranged_row_numbers, ranged_scan, row_numbers, spread, time_slice
 from sparkpack.operators.stage import materialize
 
 ORDER = ["deadline_ts", "arrival_ts", "source_id"]
@@ -36,13 +36,12 @@ def batch_by_count(records: DataFrame, size: int, slice_ms: int, keys: list[str]
         "batch_no": F.floor((F.col("rn") - 1) / size).cast("bigint"), "pos": ((F.col("rn") - 1) % size).cast("bigint")}).drop("rn")
 
 
-def batch_islands(records: DataFrame, gap_ms: int, slice_ms: int, keys: list[str] = KEYS) -> DataFrame:
+def batch_islands(records: DataFrame, gap_ms: int, keys: list[str] = KEYS) -> DataFrame:
     """Number the stretches separated by more than `gap_ms` without an arrival; no buffer survives such a gap."""
     order = [F.col("arrival_ts"), F.col("source_id")]
-    cut = time_slice(F.col("arrival_ts"), slice_ms)
-    lagged = ordered_scan(records, keys, cut, order, lags={"_prev": F.col("arrival_ts")})
+    lagged = ordered_scan(deal_ranges(records, keys, order), keys, F.col(RANGE), order, lags={"_prev": F.col("arrival_ts")})
     opens = F.when(F.unix_micros("arrival_ts") - F.unix_micros("_prev") > gap_ms * 1000, 1).otherwise(0).cast("bigint")
-    return ordered_scan(lagged, keys, cut, order, sums={"island": opens}).drop("_prev")
+    return ordered_scan(materialize(lagged), keys, F.col(RANGE), order, sums={"island": opens}).drop("_prev", RANGE)
 
 
 def batch_predicate(records: DataFrame, flush: Column, slice_ms: int, keys: list[str] = KEYS, order: list[str] = ORDER) -> DataFrame:
@@ -53,17 +52,16 @@ def batch_predicate(records: DataFrame, flush: Column, slice_ms: int, keys: list
     return marked.withColumn("batch_no", F.col("_ended") - F.col("_flag")).drop("_ended", "_flag")
 
 
-def _seen_commands(records: DataFrame, commands: DataFrame, keys: list[str], slice_ms: int, name: str) -> DataFrame:
+def _seen_commands(records: DataFrame, commands: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Add the number of commands of the record's key at or before its arrival."""
     rows = records.withColumns({"_at": F.col("arrival_ts"), "_mark": F.lit(0).cast("bigint")})
     marks = commands.select(*keys, F.col("flush_ts").alias("_at"), F.lit(1).cast("bigint").alias("_mark"))
     order = [F.col("_at"), F.lit(1) - F.col("_mark"), F.coalesce("source_id", F.lit(-1))]
-    out = ordered_scan(rows.unionByName(marks, allowMissingColumns=True), keys, time_slice(F.col("_at"), slice_ms), order,
-                       sums={name: F.col("_mark")})
+    out = ranged_scan(rows.unionByName(marks, allowMissingColumns=True), keys, order, sums={name: F.col("_mark")})
     return out.filter("_mark = 0").drop("_at", "_mark")
 
 
-def flush_all(records: DataFrame, controls: DataFrame, slice_ms: int) -> DataFrame:
+def flush_all(records: DataFrame, controls: DataFrame) -> DataFrame:
     """Number of flush commands each record has seen before it arrived; a command without a stream reaches all.
 
     A command at the time of an arrival comes first. Commands of a stream are repeated for the stream's shards;
@@ -71,8 +69,8 @@ def flush_all(records: DataFrame, controls: DataFrame, slice_ms: int) -> DataFra
     """
     shards = records.select(*KEYS).distinct()
     of_stream = controls.filter("stream_name IS NOT NULL").join(shards, "stream_name")
-    own = _seen_commands(records, of_stream, KEYS, slice_ms, "_own")
-    both = _seen_commands(own, controls.filter("stream_name IS NULL"), [], slice_ms, "_all")
+    own = _seen_commands(records, of_stream, KEYS, "_own")
+    both = _seen_commands(own, controls.filter("stream_name IS NULL"), [], "_all")
     return both.withColumn("flush_no", F.col("_own") + F.col("_all")).drop("_own", "_all")
 
 

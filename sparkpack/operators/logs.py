@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkpack.operators.scan import ordered_scan
+from sparkpack.operators.scan import ranged_scan
+from sparkpack.operators.stage import materialize
 
 # fixed values of the frame format
 START, END = "++++", "----"
@@ -13,12 +14,12 @@ NO_LEVEL_PREFIX = "!!Failed to extract level!! - "
 DEFAULT_LEVEL = {"StdOut": "info", "StdErr": "warn"}
 
 
-def framed(lines: DataFrame, slice_lines: int) -> DataFrame:
-    """Each line with its marker kind, the number of markers so far, and the marker that governs it."""
+def framed(lines: DataFrame) -> DataFrame:
+    """Each line with its marker kind, the number of markers so far, and the marker that governs it, as a stage table."""
     marker = F.when(F.col("line").startswith(START), "S").when(F.col("line").startswith(END), "E")
-    return ordered_scan(
-        lines.withColumn("marker", marker), ["source"], F.floor(F.col("line_no") / slice_lines).cast("bigint"), [F.col("line_no")],
-        sums={"seg": F.when(F.col("marker").isNotNull(), 1).otherwise(0).cast("bigint")}, lasts={"state": F.col("marker")})
+    return materialize(ranged_scan(
+        lines.withColumn("marker", marker), ["source"], [F.col("line_no")],
+        sums={"seg": F.when(F.col("marker").isNotNull(), 1).otherwise(0).cast("bigint")}, lasts={"state": F.col("marker")}))
 
 
 def _segments(lines: DataFrame, texts: bool) -> DataFrame:
@@ -47,9 +48,9 @@ def default_level():
     return F.element_at(F.create_map(*pairs), F.col("source"))
 
 
-def log_frames(lines: DataFrame, slice_lines: int = 1_000_000) -> DataFrame:
+def log_frames(lines: DataFrame) -> DataFrame:
     """Records: complete frames, lines outside any frame, and a frame still open at the end of a source."""
-    marked = framed(lines, slice_lines)
+    marked = framed(lines)
     in_frame = F.coalesce(F.col("state") == "S", F.lit(False))
     loose = marked.filter(F.col("marker").isNull() & ~in_frame).select(
         "source", F.col("line_no").alias("first_line"), F.lit("loose").alias("kind"), F.col("line").alias("text"))
@@ -74,9 +75,9 @@ def log_levels(records: DataFrame) -> DataFrame:
     })
 
 
-def log_anomalies(lines: DataFrame, slice_lines: int = 1_000_000) -> DataFrame:
+def log_anomalies(lines: DataFrame) -> DataFrame:
     """Frames whose data was dropped, terminators without a start, and terminators without data."""
-    seg = _segments(framed(lines, slice_lines), texts=False)
+    seg = _segments(framed(lines), texts=False)
     started = F.coalesce(F.col("opener") == "S", F.lit(False))
     ends = F.col("closer") == "E"
     kinds = F.array_compact(F.array(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sparkpack.operators.stage import materialize
 
 SLICE = "_slice"
+RANGE = "_range"
 
 
 def time_slice(ts: Column, slice_ms: int) -> Column:
@@ -86,16 +87,20 @@ def row_numbers(df: DataFrame, keys: list[str], slice_by: Column, order: list[Co
     return ordered_scan(df, keys, slice_by, order, sums={name: F.lit(1).cast("bigint")})
 
 
-def ranged_row_numbers(df: DataFrame, keys: list[str], order: list[Column], name: str = "rn") -> DataFrame:
-    """Add the row number (from 0) within each key, for an order without a natural slice.
-
-    Spark deals keys and order out in ranges of about equal size, so a hot key spans several; each range is numbered on its
-    own, and only the sizes of the ranges, one row per key and range, are summed per key. The rows are a stage table.
-    """
+def deal_ranges(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """A stage table with RANGE: the rows dealt out in ranges of keys and order with about equally many rows each. A hot key spans
+    several ranges, and there are as many ranges as shuffle partitions, however many rows there are."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = materialize(df.repartitionByRange(parts, *[F.col(k) for k in keys], *order).withColumn("_part", F.spark_partition_id()))
-    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = dealt.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n")).withColumn("_start", F.coalesce(before, F.lit(0))).drop("_n")
-    inside = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order)) - 1
-    numbered = dealt.withColumn("_in", inside).join(starts, [*keys, "_part"])
-    return numbered.withColumn(name, (F.col("_start") + F.col("_in")).cast("bigint")).select(*df.columns, name)
+    return materialize(df.repartitionByRange(parts, *[F.col(k) for k in keys], *order).withColumn(RANGE, F.spark_partition_id()))
+
+
+def ranged_scan(df: DataFrame, keys: list[str], order: list[Column], **columns: dict[str, Column]) -> DataFrame:
+    """`ordered_scan` for an order without a natural slice: ranges of equal size are its slices. The input is read once."""
+    return ordered_scan(deal_ranges(df, keys, order), keys, F.col(RANGE), order, **columns).select(
+        *df.columns, *[name for some in columns.values() for name in some])
+
+
+def ranged_row_numbers(df: DataFrame, keys: list[str], order: list[Column], name: str = "rn") -> DataFrame:
+    """Add the row number (from 0) within each key."""
+    out = ranged_scan(df, keys, order, sums={name: F.lit(1).cast("bigint")})
+    return out.withColumn(name, F.col(name) - 1)

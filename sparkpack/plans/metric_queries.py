@@ -15,7 +15,6 @@ US = F.unix_micros
 STATS_SQL = "count(value) AS count, round(sum(value), 2) AS sum, min(value) AS min, max(value) AS max, round(sum(value), 2) / count(value) AS mean"
 AS_OF = "2024-01-16 00:01:30"
 AS_OF_S = 1_705_363_290
-LOG_SLICE = 1_000
 
 
 def stats(df, *columns):
@@ -235,7 +234,7 @@ FRAMES_SQL = """
 @query("log_frames", FRAMES_SQL + "SELECT source, first_line, kind, text FROM records")
 def log_frames(spark, d):
     """Framed log lines as records."""
-    return L.log_frames(fx.log_lines(spark, d), LOG_SLICE)
+    return L.log_frames(fx.log_lines(spark, d))
 
 
 @query("log_levels", FRAMES_SQL + """
@@ -246,7 +245,7 @@ def log_frames(spark, d):
       FROM (SELECT *, regexp_extract(text, '(trace|debug|info|warn(?:ing)?|error|fatal)', 1) AS word FROM records)) GROUP BY 1, 2""")
 def log_levels(spark, d):
     """Records and characters per source and level."""
-    return L.log_levels(L.log_frames(fx.log_lines(spark, d), LOG_SLICE)).groupBy("source", "level").agg(
+    return L.log_levels(L.log_frames(fx.log_lines(spark, d))).groupBy("source", "level").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
 
 
@@ -258,4 +257,4 @@ def log_levels(spark, d):
     UNION ALL SELECT source, close_line, 'no data' FROM gaps WHERE closer = 'E' AND (coalesce(opener, 'E') = 'E' OR n_lines = 0)""")
 def log_anomalies(spark, d):
     """Dropped data, terminators without a start, and terminators without data."""
-    return L.log_anomalies(fx.log_lines(spark, d), LOG_SLICE)
+    return L.log_anomalies(fx.log_lines(spark, d))

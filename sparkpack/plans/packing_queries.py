@@ -85,7 +85,7 @@ def batch_by_deadline(spark, d):
                  > {fx.ISLAND_GAP_MS}000 THEN 1 ELSE 0 END AS opens FROM routed)""")
 def batch_islands(spark, d):
     """Stretches of arrivals no buffer can span."""
-    return B.batch_islands(fx.routed_table(spark, d), fx.ISLAND_GAP_MS, CFG.slice_ms).select("stream_name", "shard_no", "source_id", "island")
+    return B.batch_islands(fx.routed_table(spark, d), fx.ISLAND_GAP_MS).select("stream_name", "shard_no", "source_id", "island")
 
 
 @query("batch_predicate", """
@@ -212,7 +212,7 @@ def batch_full(spark, d):
     GROUP BY 1, 2, 3""")
 def flush_all(spark, d):
     """Batches cut by flush commands of one stream or of all streams."""
-    return B.flush_all(fx.routed_table(spark, d), fx.control_rows(spark, d), CFG.slice_ms).groupBy("stream_name", "shard_no", "flush_no").agg(
+    return B.flush_all(fx.routed_table(spark, d), fx.control_rows(spark, d)).groupBy("stream_name", "shard_no", "flush_no").agg(
         F.count(F.lit(1)).alias("n_records"), F.sum(F.octet_length("data")).alias("bytes"),
         US(F.min("arrival_ts")).alias("first_us"), US(F.max("arrival_ts")).alias("last_us"))
 

@@ -73,7 +73,7 @@ def test_counts_and_predicates(spark):
     order = lambda rs: sorted(rs, key=lambda r: (r[5], r[4], r[2]))
     by_count = {r.source_id: (r.batch_no, r.pos) for r in B.batch_by_count(df, 10, 50).collect()}
     by_flag = {r.source_id: r.batch_no for r in B.batch_predicate(df, F.col("flag"), 50).collect()}
-    islands = {r.source_id: r.island for r in B.batch_islands(df, 30, 50).collect()}
+    islands = {r.source_id: r.island for r in B.batch_islands(df, 30).collect()}
     for stream in ("hot", "cold"):
         batch = island = 0
         previous = None
@@ -92,5 +92,5 @@ def test_flush_commands(spark):
         "arrival_ts": F.timestamp_micros("arrival"), "deadline_ts": F.timestamp_micros("deadline")})
     marks = [("hot", 1_050_000), (None, 1_200_000), ("cold", 1_300_000), ("nobody", 1_300_000)]
     controls = spark.createDataFrame(marks, "stream_name string, at long").select("stream_name", F.timestamp_micros("at").alias("flush_ts"))
-    got = {r.source_id: r.flush_no for r in B.flush_all(df, controls, 50).collect()}
+    got = {r.source_id: r.flush_no for r in B.flush_all(df, controls).collect()}
     assert got == {r[2]: sum(at <= r[4] for s, at in marks if s in (None, r[0])) for r in rows}

@@ -111,8 +111,8 @@ def test_upload_batches(spark):
 
 def frames(spark, lines):
     df = spark.createDataFrame([("StdOut", i, l) for i, l in enumerate(lines)], "source string, line_no long, line string")
-    records = [(r.kind, r.level, r.text) for r in L.log_levels(L.log_frames(df, 3)).orderBy("first_line").collect()]
-    odd = sorted((r.line_no, r.kind) for r in L.log_anomalies(df, 3).collect())
+    records = [(r.kind, r.level, r.text) for r in L.log_levels(L.log_frames(df)).orderBy("first_line").collect()]
+    odd = sorted((r.line_no, r.kind) for r in L.log_anomalies(df).collect())
     return records, odd
 
 
