@@ -165,30 +165,36 @@ FINISHED = "source_id long, success boolean, finished_us long"
 
 
 class FinishProcessor(StatefulProcessor):
-    """The first terminal result of a record leaves; that it has left is kept for the record's time to live after that."""
+    """The first terminal result of each record of a bucket leaves; that it has left is kept for the record's time to live after that:
+    the ids that leave in one micro-batch are one entry of the state, which lives as long as they do."""
 
     def __init__(self, ttl_ms: int):
         self.ttl = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.left = handle.getValueState("left", "finished long", self.ttl)
+        self.left = handle.getMapState("left", "part long", "ids binary", self.ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self.left.exists():
-            for _ in rows:
-                pass
-            return
-        first = min((int(at), not ok) for r in rows for at, ok in zip(r["finished_us"], r["success"]))
-        self.left.update((first[0],))
-        yield pd.DataFrame([(int(key[0]), not first[1], first[0])], columns=[c.split()[0] for c in FINISHED.split(", ")])
+        names = [c.split()[0] for c in FINISHED.split(", ")]
+        some = [pdf[["source_id", "success", "finished_us"]] for pdf in rows]
+        new = pd.concat(some).assign(failed=lambda x: ~x["success"].astype(bool), timeless=lambda x: x["finished_us"] == NONE)
+        new = new.sort_values(["source_id", "timeless", "finished_us", "failed"]).drop_duplicates("source_id")
+        parts = {part: np.frombuffer(bytes(ids), np.int64) for (part,), (ids,) in self.left.iterator()}
+        if parts:
+            new = new[~np.isin(new["source_id"].to_numpy(), np.concatenate(list(parts.values())))]
+        if len(new):
+            self.left.updateValue((max(parts, default=-1) + 1,), (new["source_id"].to_numpy(np.int64).tobytes(),))
+        yield new[names].reset_index(drop=True)
 
     def close(self) -> None:
         pass
 
 
-def finish_once(results: DataFrame, ttl_ms: int) -> DataFrame:
+def finish_once(results: DataFrame, ttl_ms: int, buckets: int = BUCKETS) -> DataFrame:
     """Each record's first result to come; of those in one micro-batch the first to finish. Nothing is too late: the state lives
     by the wall clock, for `ttl_ms` from the result that left, and no watermark drops a row. Run it with `idle=False` where a run
     is to end."""
     rows = results.select("source_id", F.coalesce("success", F.lit(False)).alias("success"), F.unix_micros("finished_ts").alias("finished_us"))
-    return rows.groupBy("source_id").transformWithStateInPandas(FinishProcessor(ttl_ms), FINISHED, "Append", "ProcessingTime")
+    rows = rows.select(_bucket(buckets), _whole("source_id"), "success", _whole("finished_us"))
+    out = rows.groupBy("bucket").transformWithStateInPandas(FinishProcessor(ttl_ms), FINISHED, "Append", "ProcessingTime")
+    return _with_nulls(out, "source_id", "finished_us")

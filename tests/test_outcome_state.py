@@ -1,12 +1,13 @@
 """State of the outcome streams: many records per call, the same outcome as record by record."""
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from sparkpack.operators.stage import new_path
 from sparkpack.streaming import outcomes
-from sparkpack.streaming.runner import run_and_close, stream_session
+from sparkpack.streaming.runner import run_and_close, run_to_table, stream_session
 
 
 def state_rows(spark, df, idle=True):
@@ -101,3 +102,20 @@ def test_rows_without_a_time(spark):
     results = every.filter("kind = 'result'").select("source_id", "success", F.col("ts").alias("finished_ts"))
     got = run_and_close(s, lambda ticks: outcomes.stream_outcomes(puts, results, 500, ticks=ticks, buckets=2), "2100-01-02").collect()
     assert sorted((r.source_id, r.outcome, r.at_us) for r in got) == [(1, "Expired", None), (2, "Expired", 5_500_000), (3, "orphan", None)]
+
+
+def test_finishes_keep_state_per_bucket(spark):
+    rows = numbered(spark, 5000)
+    assert state_rows(spark, outcomes.finish_once(rows, 86_400_000), idle=False) < 5000
+
+
+def test_the_first_to_finish_of_a_micro_batch_leaves(spark):
+    path = new_path(spark, "results")
+    for part in ([(1, True, 9.0), (1, False, 8.0), (2, False, None), (2, True, 7.0), (2, False, 7.0)], [(1, True, 1.0), (3, True, None)]):
+        df = spark.createDataFrame(part, "source_id long, success boolean, s double").withColumn("finished_ts", F.timestamp_seconds("s"))
+        df.coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    s = stream_session(spark)
+    results = s.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = run_to_table(outcomes.finish_once(results, 86_400_000, buckets=2), idle=False).collect()
+    assert sorted(tuple(r) for r in got) == [(1, False, 8_000_000), (2, True, 7_000_000), (3, True, None)]
