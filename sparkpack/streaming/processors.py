@@ -21,6 +21,50 @@ PACKED = "stream_name string, shard_no long, id long, batch_rn long, pos long, f
 END_US = 4_102_444_800_000_000
 
 
+#: Rows of a key that are laid out for the search of flushes at once.
+PIECE = 1 << 16
+_NUMBERS = {"id": np.int64, "size": np.int64, "arrival_us": np.int64, "deadline_us": np.int64, "flag": bool, "burst_key": np.int64, "late": bool}
+_TEXTS = ["pk", "ehk"]
+
+
+class _Columns:
+    """Rows of one key as plain arrays, texts as codes: some fifty bytes a row, whatever the texts."""
+
+    def __init__(self):
+        self.parts: dict[str, list[np.ndarray]] = {c: [] for c in [*_NUMBERS, *_TEXTS]}
+        self.codes: dict[str, dict] = {c: {} for c in _TEXTS}
+        self.data: dict[str, np.ndarray] = {}
+
+    def add(self, pdf: pd.DataFrame) -> None:
+        for c, kind in _NUMBERS.items():
+            self.parts[c].append(pdf[c].to_numpy(kind))
+        for c in _TEXTS:
+            known = self.codes[c]
+            local, names = pd.factorize(pdf[c])
+            own = np.array([known.setdefault(name, len(known)) for name in names] + [-1], np.int32)
+            self.parts[c].append(own[local])
+
+    def close(self) -> None:
+        """No more rows: one array a column."""
+        for c in [*_NUMBERS, *_TEXTS]:
+            some = self.parts.pop(c)
+            self.data[c] = np.concatenate(some) if some else np.zeros(0, _NUMBERS.get(c, np.int32))
+        self.names = {c: np.array([*known, None], object) for c, known in self.codes.items()}
+
+    def __len__(self) -> int:
+        return len(self.data["id"])
+
+    def sort(self, first: int) -> None:
+        """Order the rows from `first` on; those before stay."""
+        by = first + np.lexsort([self.data[c][first:] for c in ("id", "arrival_us", "deadline_us")])
+        for c, values in self.data.items():
+            values[first:] = values[by]
+
+    def frame(self, lo: int, hi: int) -> pd.DataFrame:
+        part = {c: self.data[c][lo:hi] for c in _NUMBERS} | {c: self.names[c][self.data[c][lo:hi]] for c in _TEXTS}
+        return pd.DataFrame(part)[_ROW]
+
+
 class PackProcessor(StatefulProcessor):
     """Buffers records per key. Rows of a micro-batch are ordered here and deadlines are replayed between them; a timer at the
     earliest deadline that waits flushes a key that falls silent. Flush rows empty the buffer.
@@ -28,6 +72,8 @@ class PackProcessor(StatefulProcessor):
     A row behind the event clock or behind rows handled before it arrives now and is marked late: its arrival becomes the
     newest time its key has seen and its deadline no earlier than those waiting, so it is flushed after it came and never
     ahead of the buffer's order.
+
+    A micro-batch of a key is held as arrays of numbers; flushes are searched and leave piece by piece.
     """
 
     def __init__(self, rule: BatchRule):
@@ -39,10 +85,12 @@ class PackProcessor(StatefulProcessor):
         self.first = handle.getValueState("first", "rn long, clock long")
         self.timer = handle.getValueState("timer", "ms long")
 
-    def _load(self) -> tuple[pd.DataFrame, int, int]:
-        rows = [tuple(r) for r in self.buffer.get()] if self.buffer.exists() else []
+    def _load(self) -> tuple[_Columns, int, int]:
+        cols = _Columns()
+        if self.buffer.exists():
+            cols.add(pd.DataFrame([tuple(r) for r in self.buffer.get()], columns=_ROW))
         rn, clock = self.first.get() if self.first.exists() else (1, -NEVER)
-        return pd.DataFrame(rows, columns=_ROW), rn, clock
+        return cols, rn, clock
 
     def _store(self, rest: pd.DataFrame, rn: int, clock: int) -> None:
         wanted = None
@@ -62,58 +110,79 @@ class PackProcessor(StatefulProcessor):
                 self.handle.registerTimer(wanted)
                 self.timer.update((wanted,))
 
-    def _flush(self, key, rows: pd.DataFrame, buffered: int, rn: int, until: int, forced: tuple[tuple[int, int], ...] = ()) -> tuple[pd.DataFrame, pd.DataFrame, int]:
-        """Flushes of ordered rows of which the first `buffered` were there before, and timers before `until`; `forced` are
-        (position, time) commands."""
-        st, s, j, flushes = Stretch(rows, self.rule), 0, buffered, []
-        for at, when in forced:
-            s = st.run(s, j, at, -NEVER, None, flushes)
-            j = at
-            due = when if self.rule.use_deadline else -NEVER
-            s = st.run(s, j, at, due, None, flushes)
-            while s < at:
-                e = st.prefix(s, at)
-                flushes.append((s, e, when, "flush"))
-                s = e
-        s = st.run(s, j, st.n, until, None, flushes)
+    def _rows(self, key, rows: _Columns, rn: int, flushes: list[tuple[int, int, int, str]]) -> pd.DataFrame:
+        begin, end = flushes[0][0], flushes[-1][1]
         lengths = [e - b for b, e, _, _ in flushes]
-        out = rows.loc[rows.index[: sum(lengths)], ["id", "late"]].reset_index(drop=True)
-        begin = np.repeat(np.array([b for b, _, _, _ in flushes], np.int64), lengths)
-        out["stream_name"], out["shard_no"], out["batch_rn"], out["pos"] = key[0], key[1], rn + begin, np.arange(len(out)) - begin
+        out = pd.DataFrame({"id": rows.data["id"][begin:end], "late": rows.data["late"][begin:end]})
+        first = np.repeat(np.array([b for b, _, _, _ in flushes], np.int64), lengths)
+        out["stream_name"], out["shard_no"], out["batch_rn"], out["pos"] = key[0], key[1], rn + first, np.arange(begin, end) - first
         out["flush_us"] = np.repeat(np.array([w for _, _, w, _ in flushes], np.int64), lengths)
         out["reason"] = np.repeat(np.array([r for _, _, _, r in flushes], object), lengths)
-        return out[[c.split()[0] for c in PACKED.split(", ")]], rows.iloc[s:], rn + s
+        return out[[c.split()[0] for c in PACKED.split(", ")]]
+
+    def _flush(self, key, rows: _Columns, buffered: int, rn: int, until: int, clock: int, forced=()) -> Iterator[pd.DataFrame]:
+        """Flushes of ordered rows of which the first `buffered` were there before, and timers before `until`; `forced` are
+        (position, time) commands. What is left is stored.
+
+        A buffer [s, j) lies in the piece [base, top); records up to the next stop are added, and when the piece is used up the
+        next one begins at s. A piece is at least twice its buffer, so a buffer without a bound is not read again too often.
+        """
+        s, j, n, base, top, st, flushes = 0, buffered, len(rows), 0, 0, None, []
+        for at, when in [*forced, (n, None)]:
+            while j < at or st is None:
+                if st is None or j >= top:
+                    if flushes:
+                        yield self._rows(key, rows, rn, flushes)
+                        flushes = []
+                    base, top = s, min(n, max(j + PIECE, 2 * j - s))
+                    st = Stretch(rows.frame(base, top), self.rule)
+                stop, found = min(max(at, j), top), []
+                s = base + st.run(s - base, j - base, stop - base, -NEVER, None, found)
+                flushes += [(base + b, base + e, w, r) for b, e, w, r in found]
+                j = stop
+            found, due = [], until if when is None else when if self.rule.use_deadline else -NEVER
+            s = base + st.run(s - base, j - base, at - base, due, None, found)
+            flushes += [(base + b, base + e, w, r) for b, e, w, r in found]
+            while when is not None and s < at:
+                e = base + st.prefix(s - base, at - base)
+                flushes.append((s, e, when, "flush"))
+                s = e
+        self._store(rows.frame(s, n), rn + s, clock)
+        yield self._rows(key, rows, rn, flushes or [(0, 0, 0, "")])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
-        waiting, rn, clock = self._load()
+        merged, rn, clock = self._load()
+        waiting = sum(len(p) for p in merged.parts["id"])
         now = timerValues.getCurrentWatermarkInMs() * 1000
         clock = max(clock, now) if now > 0 else clock
-        puts = new[new["kind"] == "put"].copy()
-        puts["late"] = puts["arrival_us"] < clock
-        if puts["late"].any():
-            floor = int(waiting["deadline_us"].max()) if len(waiting) else clock
-            puts.loc[puts["late"], "deadline_us"] = puts.loc[puts["late"], "deadline_us"].clip(lower=max(floor, clock))
-            puts.loc[puts["late"], "arrival_us"] = clock
-        puts = puts.sort_values(["deadline_us", "arrival_us", "id"])
-        commands = sorted(max(clock, c) for c in new.loc[new["kind"] == "flush", "arrival_us"])
-        clock = max([clock, *(int(x) for x in (puts["arrival_us"].max(),) if len(puts)), *commands])
-        merged = pd.concat([waiting, puts[_ROW]], ignore_index=True) if len(waiting) else puts[_ROW].reset_index(drop=True)
-        arrived = merged["arrival_us"].to_numpy()
-        forced = tuple((max(len(waiting), int((arrived <= c).sum())), int(c)) for c in commands)
-        out, rest, rn = self._flush(key, merged, len(waiting), rn, now if now > 0 else -NEVER, forced)
-        self._store(rest, rn, int(clock))
-        yield out
+        commands = []
+        for pdf in rows:
+            put = pdf["kind"] == "put"
+            commands += pdf.loc[pdf["kind"] == "flush", "arrival_us"].tolist()
+            merged.add(pdf[put].assign(late=False))
+        merged.close()
+        arrival, deadline, late = (merged.data[c] for c in ("arrival_us", "deadline_us", "late"))
+        late[waiting:] = arrival[waiting:] < clock
+        behind = waiting + np.flatnonzero(late[waiting:])
+        if len(behind):
+            floor = int(deadline[:waiting].max()) if waiting else clock
+            deadline[behind] = np.maximum(deadline[behind], max(floor, clock))
+            arrival[behind] = clock
+        merged.sort(waiting)
+        commands = sorted(max(clock, int(c)) for c in commands)
+        clock = max([clock, *([int(arrival[waiting:].max())] if len(merged) > waiting else []), *commands[-1:]])
+        seen = np.searchsorted(np.sort(arrival), np.array(commands, np.int64), "right") if commands else []
+        forced = [(max(waiting, int(k)), c) for k, c in zip(seen, commands)]
+        yield from self._flush(key, merged, waiting, rn, now if now > 0 else -NEVER, int(clock), forced)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """The earliest deadline has passed and nothing came."""
         self.timer.clear()
         waiting, rn, clock = self._load()
+        waiting.close()
         until = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
         forced = () if self.rule.use_deadline else ((len(waiting), END_US),)
-        out, rest, rn = self._flush(key, waiting, len(waiting), rn, until, forced)
-        self._store(rest, rn, clock)
-        yield out
+        yield from self._flush(key, waiting, len(waiting), rn, until, clock, forced)
 
     def close(self) -> None:
         pass
