@@ -107,3 +107,10 @@ def test_memory_of_a_large_key():
     (a, small), (b, large) = per_row(rule, 100_000), per_row(rule, 200_000)
     assert a > 99_000 and b > 199_000
     assert (large - small) / 100_000 < 150
+
+
+def test_memory_of_a_large_key_with_flush_commands():
+    rule = BatchRule(use_deadline=False)
+    (a, small), (b, large) = per_row(rule, 100_000, 200), per_row(rule, 200_000, 200)
+    assert (a, b) == (100_000, 200_000)
+    assert (large - small) / 100_000 < 150
