@@ -249,23 +249,23 @@ def unpack(message: bytes) -> tuple[list[tuple[str, str | None, bytes]], str | N
     return out, None
 
 
-DECODED = "sub_sequence long, partition_key string, explicit_hash_key string, data binary, aggregated boolean, error string"
+#: User records, or bytes of packed data, that a task has unpacked when they leave.
+PIECE_ROWS, PIECE_BYTES = 4096, 1 << 23
 
+DECODED = "sub_sequence long, partition_key string, explicit_hash_key string, data binary, aggregated boolean, error string"
 
-def deaggregate(packed: DataFrame) -> DataFrame:
-    """Packed rows to user records; rows that are not packed pass through with aggregated = false.
 
-    Other columns (sequence number, arrival time, ...) are copied to every record. A bad index keeps the records
-    before it and adds one row whose `error` is set and whose `sub_sequence` counts the kept records.
-    """
-    keep = [c for c in packed.columns if c not in ("partition_key", "data", "explicit_hash_key")]
-    types = dict(packed.dtypes)
-    ddl = ", ".join([f"`{c}` {types[c]}" for c in keep] + [DECODED])
+def _unpacked(keep: list[str]):
+    """Packed rows of a task to their user records, a few thousand at a time: each repeats the other columns of its packed row."""
     head, tail = len(K.MAGIC_HEX) // 2, K.DIGEST_BYTES
 
+    def piece(pdf: pd.DataFrame, rows: list[tuple], origin: list[int]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=[f.split()[0] for f in DECODED.split(", ")])
+        return pd.concat([pdf[keep].iloc[origin].reset_index(drop=True), out], axis=1)
+
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows, origin = [], []
+            rows, origin, size = [], [], 0
             for i, (key, data, is_packed) in enumerate(zip(pdf["partition_key"], pdf["data"], pdf["_packed"])):
                 records, error = None, None
                 if is_packed:
@@ -280,11 +280,27 @@ def deaggregate(packed: DataFrame) -> DataFrame:
                     if error:
                         rows.append((len(records), None, None, None, True, error))
                 origin += [i] * (len(rows) - len(origin))
-            out = pd.DataFrame(rows, columns=[f.split()[0] for f in DECODED.split(", ")])
-            yield pd.concat([pdf[keep].iloc[origin].reset_index(drop=True), out], axis=1)
+                size += len(data) if data is not None else 0
+                if len(rows) >= PIECE_ROWS or size >= PIECE_BYTES:
+                    yield piece(pdf, rows, origin)
+                    rows, origin, size = [], [], 0
+            if rows:
+                yield piece(pdf, rows, origin)
+    return decode
+
+
+def deaggregate(packed: DataFrame) -> DataFrame:
+    """Packed rows to user records; rows that are not packed pass through with aggregated = false.
+
+    Other columns (sequence number, arrival time, ...) are copied to every record. A bad index keeps the records
+    before it and adds one row whose `error` is set and whose `sub_sequence` counts the kept records.
+    """
+    keep = [c for c in packed.columns if c not in ("partition_key", "data", "explicit_hash_key")]
+    types = dict(packed.dtypes)
+    ddl = ", ".join([f"`{c}` {types[c]}" for c in keep] + [DECODED])
 
     # the format test runs in Spark; a filter on it would be pushed below the (expensive) data column
-    return packed.withColumn("_packed", F.coalesce(K.is_packed(F.col("data")), F.lit(False))).mapInPandas(decode, ddl)
+    return packed.withColumn("_packed", F.coalesce(K.is_packed(F.col("data")), F.lit(False))).mapInPandas(_unpacked(keep), ddl)
 
 
 def deaggregate_records(packed: DataFrame) -> DataFrame:
