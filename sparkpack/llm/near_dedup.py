@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkpack.llm.common import (GOLDEN, NOT_BLANK, Sets, components, golden, id_key, lists_to_arrays, mix, run_hashes,
@@ -117,19 +117,25 @@ def _signatures(k: int, bands: int, rows: int):
     return run
 
 
+def _coded(labels: list) -> tuple[list[int], list]:
+    """Labels as small integers, and the label of each."""
+    known: dict = {}
+    return [known.setdefault(x, len(known)) for x in labels], list(known)
+
+
 def _agreeing(m: int, least: float):
-    """Within a bucket (or two blocks of a hot one), the components of the pairs whose signatures agree enough."""
+    """Within a bucket (or two blocks of a hot one), the components of the pairs whose signatures agree enough, as edges between labels."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches):
         for group in sorted_groups(batches, ["bucket", "i", "j"]):
-            fps = group.column("fp").to_pylist()
-            sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(fps), m)
-            sets = Sets(len(fps))
-            for x in range(len(fps) - 1):
+            of, labels = _coded(group.column("label").to_pylist())
+            sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(of), m)
+            sets = Sets(len(labels))
+            for x in range(len(of) - 1):
                 for y in (np.flatnonzero((sig[x + 1:] == sig[x]).sum(axis=1) >= least * m) + x + 1).tolist():
-                    sets.join(x, y)
-            a, b = stars(sets, fps)
+                    sets.join(of[x], of[y])
+            a, b = stars(sets, labels)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
     return run
@@ -165,29 +171,63 @@ def _verified(percent: int):
 
     def run(batches):
         for group in sorted_groups(batches, ["cluster", "i", "j"]):
-            fps = group.column("fp").to_pylist()
+            of, labels = _coded(group.column("label").to_pylist())
             h, bounds = lists_to_arrays(group.column("sets"), np.uint64)
-            sets = Sets(len(fps))
+            sets = Sets(len(labels))
             for x, y in zip(*(side.tolist() for side in linked_pairs(h, bounds, percent))):
-                sets.join(x, y)
-            a, b = stars(sets, fps)
+                sets.join(of[x], of[y])
+            a, b = stars(sets, labels)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
     return run
 
 
-def _in_blocks(rows: DataFrame, group: str, size: int) -> DataFrame:
-    """Give rows of a group block pairs (i, j): all pairs of rows meet in one, and no (group, i, j) is much above 2 * size rows.
+def _linked(rows: DataFrame, group: str, value: str, test, size: int = BLOCK) -> DataFrame:
+    """Components (node, label) of the links that `test` finds between rows (group, fp, value) of one group.
 
-    A group of n rows has n / size blocks and each row goes to one pair per block, so nothing is emitted per pair of rows.
+    A group's rows lie in blocks of about `size`. First the rows of one block meet those of every block, and each block its own,
+    which unites what is much alike and passes on at most two edges a row. Then only rows whose labels still differ have
+    to meet: a label with `size` rows or more has blocks of its own, which skip each other, and edges run between labels.
+    So every pair with different labels is tested, while a group of copies costs in proportion to its rows.
     """
     counts = stage(rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
-    out = rows.join(counts, group)
-    blocks = F.ceil(F.col("_n") / F.lit(size)).cast("int")
-    own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    out = out.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    out = out.withColumn("i", F.least("_own", "_other")).withColumn("j", F.greatest("_own", "_other"))
-    return out.drop("_n", "_own", "_other")
+    place = F.xxhash64("fp")
+    sized = rows.join(counts, group).withColumn("_blocks", F.ceil(F.col("_n") / F.lit(size)).cast("int"))
+    sized = sized.withColumn("_own", F.pmod(place, F.col("_blocks")).cast("int"))
+    meets = F.when(F.col("_own") == 0, F.sequence(F.lit(0), F.col("_blocks") - 1)).otherwise(F.array("_own"))
+    first = sized.select(group, "fp", value, F.col("fp").alias("label"), F.lit(0).alias("i"), F.explode(meets).alias("j"))
+    labels = components(_edges(first, group, test))
+    if counts.filter(F.col("_n") > size).isEmpty():
+        return labels
+    named = sized.filter(F.col("_n") > size).select(group, "fp").join(labels, F.col("fp") == F.col("node"), "left")
+    named = stage(named.select(group, "fp", F.coalesce("label", "fp").alias("label")))
+    per = named.groupBy(group, "label").agg(F.count(F.lit(1)).alias("_c"))
+    own = F.when(F.col("_c") >= size, F.ceil(F.col("_c") / F.lit(size)).cast("int"))
+    per = stage(per.withColumn("_wide", own))
+    mixed = F.ceil(F.coalesce(F.sum(F.when(F.col("_wide").isNull(), F.col("_c"))), F.lit(0)) / F.lit(size)).cast("int")
+    groups = per.groupBy(group).agg(F.count(F.lit(1)).alias("_labels"), mixed.alias("_mixed"), F.coalesce(F.sum("_wide"), F.lit(0)).cast("int").alias("_alone"))
+    groups = stage(groups.filter("_labels > 1").select(group, "_mixed", (F.col("_mixed") + F.col("_alone")).alias("_blocks")))
+    before = Window.partitionBy(group).orderBy("label").rowsBetween(Window.unboundedPreceding, -1)
+    wide = per.filter("_wide IS NOT NULL").select(group, "label", "_wide", F.coalesce(F.sum("_wide").over(before), F.lit(0)).cast("int").alias("_start"))
+    placed = named.join(groups, group).join(wide, [group, "label"], "left")
+    start, stop = F.col("_mixed") + F.col("_start"), F.col("_mixed") + F.col("_start") + F.col("_wide")
+    alone = F.col("_wide").isNotNull()
+    placed = placed.withColumn("_own", F.when(alone, start + F.pmod(place, F.col("_wide"))).otherwise(F.pmod(place, F.greatest("_mixed", F.lit(1)))).cast("int"))
+    every = F.sequence(F.lit(0), F.col("_blocks") - 1)
+    placed = placed.withColumn("_other", F.explode(F.when(alone, F.filter(every, lambda x: (x < start) | (x >= stop))).otherwise(every)))
+    placed = placed.select(group, "fp", "label", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"))
+    apart = _edges(placed.join(rows.select(group, "fp", value), [group, "fp"]), group, test)
+    if apart.isEmpty():
+        return labels
+    higher = components(apart).select(F.col("node").alias("_low"), F.col("label").alias("_high"))
+    lone = apart.select(F.col("a").alias("node")).union(apart.select("b")).distinct().join(labels, "node", "left_anti")
+    labels = labels.union(lone.select("node", F.col("node").alias("label")))
+    return stage(labels.join(higher, F.col("label") == F.col("_low"), "left").select("node", F.coalesce("_high", "label").alias("label")))
+
+
+def _edges(placed: DataFrame, group: str, test) -> DataFrame:
+    met = placed.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
+    return stage(met.mapInArrow(test, "a binary, b binary").distinct())
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, percent: int = 85,
@@ -222,19 +262,15 @@ def _grouped(base: DataFrame, words: int, percent: int, bands: int, rows: int) -
     full = stage(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket"))
     shared = stage(keys.join(full, "bucket"))
     signed = shared.join(classes.select("fp", "sig"), "fp")
-    signed = _in_blocks(signed, "bucket", BLOCK).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     similarity = percent / 100
     least = similarity - SLACK * math.sqrt(similarity * (1 - similarity) / m)
-    maybe = stage(signed.mapInArrow(_agreeing(m, least), "a binary, b binary").distinct())
-    clusters = components(maybe)
+    clusters = _linked(stage(signed), "bucket", "sig", _agreeing(m, least))
     members = stage(clusters.join(classes.select("fp", "id", "row"), clusters["node"] == classes["fp"])
                     .select("id", "row", F.col("fp").alias("_fp"), F.xxhash64("label").alias("cluster")))
     texts = base.join(members.hint("shuffle_hash"), ["id", "row"]).select("cluster", F.col("_fp").alias("fp"), "text")
     sets = texts.mapInArrow(_checked_sets(words), "cluster long, fp binary, sets array<long>")
     sets = stage(sets.dropDuplicates(["fp"]))
-    blocks = _in_blocks(sets, "cluster", BLOCK).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    links = stage(blocks.mapInArrow(_verified(percent), "a binary, b binary").distinct())
-    groups = components(links)
+    groups = _linked(sets, "cluster", "sets", _verified(percent))
     named = classes.select("fp", "id", "row").join(groups, classes["fp"] == groups["node"], "left")
     named = stage(named.select("fp", F.coalesce("label", "fp").alias("label"), "id", "row"))
     first = named.groupBy("label").agg(F.min(F.struct("id", "fp", "row")).alias("first"))
