@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -21,47 +23,77 @@ PACKED = "stream_name string, shard_no long, id long, batch_rn long, pos long, f
 END_US = 4_102_444_800_000_000
 
 
-#: Rows of a key that are laid out for the search of flushes at once.
+#: Rows of a key that are laid out for the search of flushes, or pass to and from its state, at once.
 PIECE = 1 << 16
 _NUMBERS = {"id": np.int64, "size": np.int64, "arrival_us": np.int64, "deadline_us": np.int64, "flag": bool, "burst_key": np.int64, "late": bool}
+_NARROW = ["id", "size", "burst_key"]
 _TEXTS = ["pk", "ehk"]
 
 
 class _Columns:
-    """Rows of one key as plain arrays, texts as codes: some fifty bytes a row, whatever the texts."""
+    """Rows of one key as plain arrays that grow in place: numbers as wide as they need, texts as codes into an Arrow array."""
 
     def __init__(self):
-        self.parts: dict[str, list[np.ndarray]] = {c: [] for c in [*_NUMBERS, *_TEXTS]}
-        self.codes: dict[str, dict] = {c: {} for c in _TEXTS}
-        self.data: dict[str, np.ndarray] = {}
+        self.n = 0
+        self.data = {c: np.zeros(0, np.int8 if c in _NARROW else _NUMBERS.get(c, np.int32)) for c in [*_NUMBERS, *_TEXTS]}
+        self.names = {c: [pa.array([], pa.large_string())] for c in _TEXTS}
+        self.distinct = dict.fromkeys(_TEXTS, 0)
+
+    def __len__(self) -> int:
+        return self.n
+
+    def _resize(self, room: int) -> None:
+        for values in self.data.values():
+            values.resize(room, refcheck=False)
 
     def add(self, pdf: pd.DataFrame) -> None:
+        lo, self.n = self.n, self.n + len(pdf)
+        if self.n > len(self.data["id"]):
+            self._resize(self.n + self.n // 8)
         for c, kind in _NUMBERS.items():
-            self.parts[c].append(pdf[c].to_numpy(kind))
+            values = pdf[c].to_numpy(kind)
+            if c in _NARROW and len(values):
+                self._widen(c, int(values.min()), int(values.max()))
+            self.data[c][lo:self.n] = values
         for c in _TEXTS:
-            known = self.codes[c]
-            local, names = pd.factorize(pdf[c])
-            own = np.array([known.setdefault(name, len(known)) for name in names] + [-1], np.int32)
-            self.parts[c].append(own[local])
+            part, names = pa.array(pdf[c].astype(object), pa.large_string(), from_pandas=True).dictionary_encode(), self.names[c]
+            known = sum(map(len, names))
+            codes = part.indices.fill_null(-1).to_numpy()
+            self.data[c][lo:self.n] = np.where(codes < 0, -1, codes + known)
+            names.append(part.dictionary)
+            if known + len(part.dictionary) > 2 * self.distinct[c] + PIECE:
+                self._merge(c)
+
+    def _widen(self, c: str, least: int, most: int) -> None:
+        fits = next(k for k in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(k).min <= least and most <= np.iinfo(k).max)
+        if np.dtype(fits).itemsize > self.data[c].itemsize:
+            self.data[c] = self.data[c].astype(fits)
+
+    def _merge(self, c: str) -> None:
+        """Texts that came with several parts get one code."""
+        every = pa.concat_arrays(self.names[c]).dictionary_encode()
+        codes = self.data[c][:self.n]
+        codes[:] = np.append(every.indices.to_numpy(), np.int32(-1))[codes]
+        self.names[c], self.distinct[c] = [every.dictionary], len(every.dictionary)
 
     def close(self) -> None:
-        """No more rows: one array a column."""
-        for c in [*_NUMBERS, *_TEXTS]:
-            some = self.parts.pop(c)
-            self.data[c] = np.concatenate(some) if some else np.zeros(0, _NUMBERS.get(c, np.int32))
-        self.names = {c: np.array([*known, None], object) for c, known in self.codes.items()}
-
-    def __len__(self) -> int:
-        return len(self.data["id"])
+        """No more rows."""
+        self._resize(self.n)
+        self.names = {c: [pa.concat_arrays(names)] for c, names in self.names.items()}
 
     def sort(self, first: int) -> None:
         """Order the rows from `first` on; those before stay."""
-        by = first + np.lexsort([self.data[c][first:] for c in ("id", "arrival_us", "deadline_us")])
-        for c, values in self.data.items():
+        by = np.lexsort([self.data[c][first:] for c in ("id", "arrival_us", "deadline_us")])
+        by += first
+        for values in self.data.values():
             values[first:] = values[by]
 
+    def _texts(self, c: str, lo: int, hi: int) -> np.ndarray:
+        codes = self.data[c][lo:hi]
+        return self.names[c][0].take(pa.array(codes, mask=codes < 0)).to_numpy(zero_copy_only=False)
+
     def frame(self, lo: int, hi: int) -> pd.DataFrame:
-        part = {c: self.data[c][lo:hi] for c in _NUMBERS} | {c: self.names[c][self.data[c][lo:hi]] for c in _TEXTS}
+        part = {c: self.data[c][lo:hi] for c in _NUMBERS} | {c: self._texts(c, lo, hi) for c in _TEXTS}
         return pd.DataFrame(part)[_ROW]
 
 
@@ -88,16 +120,22 @@ class PackProcessor(StatefulProcessor):
     def _load(self) -> tuple[_Columns, int, int]:
         cols = _Columns()
         if self.buffer.exists():
-            cols.add(pd.DataFrame([tuple(r) for r in self.buffer.get()], columns=_ROW))
+            stored = map(tuple, self.buffer.get())
+            while part := list(islice(stored, PIECE)):
+                cols.add(pd.DataFrame(part, columns=_ROW))
         rn, clock = self.first.get() if self.first.exists() else (1, -NEVER)
         return cols, rn, clock
 
-    def _store(self, rest: pd.DataFrame, rn: int, clock: int) -> None:
+    def _store(self, rows: _Columns, s: int, rn: int, clock: int) -> None:
+        """Rows from `s` on wait."""
         wanted = None
-        if len(rest):
-            plain = rest[_ROW].astype(object).where(rest[_ROW].notna(), None)
-            self.buffer.put([tuple(r) for r in plain.itertuples(index=False, name=None)])
-            wanted = (int(rest["deadline_us"].iloc[0]) if self.rule.use_deadline else END_US) // 1000 + 1
+        for lo in range(s, len(rows), PIECE):
+            rest = rows.frame(lo, min(lo + PIECE, len(rows)))
+            plain = rest.astype(object).where(rest.notna(), None)
+            keep = self.buffer.put if lo == s else self.buffer.appendList
+            keep(list(plain.itertuples(index=False, name=None)))
+        if s < len(rows):
+            wanted = (int(rows.data["deadline_us"][s]) if self.rule.use_deadline else END_US) // 1000 + 1
         else:
             self.buffer.clear()
         self.first.update((rn, clock))
@@ -113,7 +151,7 @@ class PackProcessor(StatefulProcessor):
     def _rows(self, key, rows: _Columns, rn: int, flushes: list[tuple[int, int, int, str]]) -> pd.DataFrame:
         begin, end = flushes[0][0], flushes[-1][1]
         lengths = [e - b for b, e, _, _ in flushes]
-        out = pd.DataFrame({"id": rows.data["id"][begin:end], "late": rows.data["late"][begin:end]})
+        out = pd.DataFrame({"id": rows.data["id"][begin:end].astype(np.int64), "late": rows.data["late"][begin:end]})
         first = np.repeat(np.array([b for b, _, _, _ in flushes], np.int64), lengths)
         out["stream_name"], out["shard_no"], out["batch_rn"], out["pos"] = key[0], key[1], rn + first, np.arange(begin, end) - first
         out["flush_us"] = np.repeat(np.array([w for _, _, w, _ in flushes], np.int64), lengths)
@@ -147,12 +185,12 @@ class PackProcessor(StatefulProcessor):
                 e = base + st.prefix(s - base, at - base)
                 flushes.append((s, e, when, "flush"))
                 s = e
-        self._store(rows.frame(s, n), rn + s, clock)
+        self._store(rows, s, rn + s, clock)
         yield self._rows(key, rows, rn, flushes or [(0, 0, 0, "")])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         merged, rn, clock = self._load()
-        waiting = sum(len(p) for p in merged.parts["id"])
+        waiting = len(merged)
         now = timerValues.getCurrentWatermarkInMs() * 1000
         clock = max(clock, now) if now > 0 else clock
         commands = []
